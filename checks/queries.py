@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import gold_queries, report_queries  # noqa: F401
+from checks import change_queries, gold_queries, report_queries, stream_queries  # noqa: F401

@@ -146,27 +146,25 @@ TLC_SPELLING = {
 }
 
 
-def _payload(columns: dict[str, Column], spelling: dict[str, str]) -> Column:
-    values = [
-        (micros(c) if n in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "time") else c).alias(
-            spelling.get(n, n)
-        )
-        for n, c in columns.items()
-    ]
-    return F.to_json(F.struct(*values))
+def payload(columns: dict[str, Column]) -> Column:
+    """A row as the JSON object a connector sends."""
+    times = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "time")
+    return F.to_json(F.struct(*[(micros(c) if n in times else c).alias(n) for n, c in columns.items()]))
 
 
-def _envelope(op: str, ts_ms: Column, before: Column | None, after: Column | None) -> Column:
+def envelope(op: Column, ts_ms: Column, before: Column, after: Column) -> Column:
     null = F.lit("null")
     return F.concat(
-        F.lit(f'{{"op":"{op}","ts_ms":'),
-        ts_ms.cast("string"),
-        F.lit(',"before":'),
-        null if before is None else before,
-        F.lit(',"after":'),
-        null if after is None else after,
-        F.lit("}"),
-    )
+        F.lit('{"op":"'), op, F.lit('","ts_ms":'), ts_ms.cast("string"),
+        F.lit(',"before":'), F.coalesce(before, null),
+        F.lit(',"after":'), F.coalesce(after, null), F.lit("}"),
+    )
+
+
+def _other_spelling(text: Column) -> Column:
+    for name, tlc in TLC_SPELLING.items():
+        text = F.replace(text, F.lit(f'"{name}"'), F.lit(f'"{tlc}"'))
+    return text
 
 
 def trip_changes(spark: SparkSession, d: str) -> DataFrame:
@@ -177,23 +175,39 @@ def trip_changes(spark: SparkSession, d: str) -> DataFrame:
             "vendorid": F.when(~F.expr(NO_VENDOR), F.col("vendorid")),
         }
     )
-    records = []
-    for op, condition, delay, changed in VERSIONS:
-        old = {n: F.col(n) for n in TRIP_COLUMNS}
-        new = {**old, **{n: F.expr(fill(e, SPARK)) for n, e in changed.items()}}
-        ts_ms = F.col("event_id") * 10 + delay
+    numbers = F.array(*[F.when(F.expr(v[1]), F.lit(i)) for i, v in enumerate(VERSIONS)])
+    rows = rows.withColumn("version", F.explode(F.array_compact(numbers)))
+    old = {n: F.col(n) for n in TRIP_COLUMNS}
+    new = dict(old)
+    op, delay = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for i, (code, _, after_ms, changed) in enumerate(VERSIONS):
+        here = F.col("version") == i
+        op, delay = F.when(here, code).otherwise(op), F.when(here, after_ms).otherwise(delay)
+        for name, value in changed.items():
+            new[name] = F.when(here, F.expr(fill(value, SPARK))).otherwise(new[name])
+    sides = rows.select(
+        "event_id",
+        "version",
+        op.alias("op"),
+        (F.col("event_id") * 10 + delay).alias("ts_ms"),
+        payload(old).alias("old"),
+        payload(new).alias("new"),
+    )
+    before = F.when(F.col("op").isin("u", "d"), F.col("old"))
+    after = F.when(F.col("op").isin("c", "u"), F.col("new"))
+    record = envelope(F.col("op"), F.col("ts_ms"), before, after)
+    record = F.when(F.col("event_id") % 2 == 0, record).otherwise(_other_spelling(record))
+    junk = F.array(F.lit('{"op":"t","after":null}'), F.lit('{"op":"c","after":{"vendorid":'))
+    first = (F.col("version") == 0) & (F.col("event_id") % 50 == 3)
+    records = F.when(first, F.array_append(junk, record)).otherwise(F.array(record))
+    return sides.select(F.explode(records).alias("value"))
 
-        def sides(columns: dict[str, Column]) -> Column:
-            lower, tlc = _payload(columns, {}), _payload(columns, TLC_SPELLING)
-            return F.when(F.col("event_id") % 2 == 0, lower).otherwise(tlc)
 
-        before = sides(old) if op in "ud" else None
-        after = sides(new) if op in "cu" else None
-        records.append(F.when(F.expr(condition), _envelope(op, ts_ms, before, after)))
-    junk = F.col("event_id") % 50 == 3
-    records.append(F.when(junk, F.lit('{"op":"t","after":null}')))
-    records.append(F.when(junk, F.lit('{"op":"c","after":{"vendorid":')))
-    return rows.select(F.explode(F.array_compact(F.array(*records))).alias("value"))
+def trip_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Every trip as a record of the initial snapshot."""
+    row = payload({n: F.col(n) for n in TRIP_COLUMNS})
+    null = F.lit(None).cast("string")
+    return trips(spark, d).select(envelope(F.lit("r"), F.lit(0), null, row).alias("value"))
 
 
 def weather_changes(spark: SparkSession, d: str) -> DataFrame:
@@ -201,14 +215,14 @@ def weather_changes(spark: SparkSession, d: str) -> DataFrame:
     rows = weather(spark, d, "n").withColumn(
         "temperature", F.when(F.expr("n % 25 = 1"), F.lit(-101.0)).otherwise(F.col("temperature"))
     )
-    old = {n: F.col(n) for n in WEATHER_COLUMNS}
-    new = {**old, "temperature": F.col("temperature") + 1}
-    ts_ms = F.col("n") * 10
+    old = payload({n: F.col(n) for n in WEATHER_COLUMNS})
+    new = payload({**{n: F.col(n) for n in WEATHER_COLUMNS}, "temperature": F.col("temperature") + 1})
+    key, null, ts_ms = payload({"time": F.col("time")}), F.lit(None).cast("string"), F.col("n") * 10
     records = F.array(
-        _envelope("c", ts_ms, None, _payload(old, {})),
-        F.when(F.expr("n % 4 = 1"), _envelope("u", ts_ms + 1, _payload(old, {}), _payload(new, {}))),
-        F.when(F.expr("n % 9 = 2"), _envelope("d", ts_ms + 2, _payload({"time": F.col("time")}, {}), None)),
-        F.when(F.expr("n % 7 = 3"), _envelope("u", ts_ms + 3, None, None)),
+        envelope(F.lit("c"), ts_ms, null, old),
+        F.when(F.expr("n % 4 = 1"), envelope(F.lit("u"), ts_ms + 1, old, new)),
+        F.when(F.expr("n % 9 = 2"), envelope(F.lit("d"), ts_ms + 2, key, null)),
+        F.when(F.expr("n % 7 = 3"), envelope(F.lit("u"), ts_ms + 3, null, null)),
     )
     return rows.select(F.explode(F.array_compact(records)).alias("value"))
 

@@ -17,7 +17,7 @@ from faretide import schemas
 from faretide.functions import clock
 from faretide.schemas import ChangeSpec
 
-ENVELOPE = "op string, ts_ms string, before map<string,string>, after map<string,string>"
+ENVELOPE = "op string, ts_ms string, before map<string,string>, after map<string,string>, broken string"
 UPSERT_OPS = ("c", "u", "r")  # create, update, snapshot read
 DELETE_OP = "d"
 
@@ -26,9 +26,14 @@ DELETE_OP = "d"
 ORDER = ("_ts_ms", "_offset", "_rank")
 
 
-def operation(raw: DataFrame) -> DataFrame:
-    """The raw records with their operation code in ``op``; NULL for what is no envelope."""
-    return raw.withColumn("op", F.get_json_object("value", "$.op"))
+def parse(raw: DataFrame, *columns: Column) -> DataFrame:
+    """The envelope of every record in ``e``, and its operation in ``op``: NULL for what is none.
+
+    A record that is cut off counts as none, whatever could be read of it.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = raw.select(F.from_json("value", ENVELOPE, options).alias("e"), *columns)
+    return parsed.withColumn("op", F.when(F.col("e.broken").isNull(), F.col("e.op")))
 
 
 def operation_counts(raw: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def operation_counts(raw: DataFrame) -> DataFrame:
     route = (
         F.when(F.col("op").isin(*UPSERT_OPS), "upsert").when(F.col("op") == DELETE_OP, "delete").otherwise("dropped")
     )
-    return operation(raw).groupBy("op").agg(F.count("*").alias("records")).withColumn("route", route)
+    return parse(raw).groupBy("op").agg(F.count("*").alias("records")).withColumn("route", route)
 
 
 def _text(payload: Column, spec: ChangeSpec, name: str) -> Column:
@@ -78,8 +83,8 @@ def decode_changes(raw: DataFrame, spec: ChangeSpec) -> DataFrame:
     the new one. Unknown operations, tombstones and broken records yield none.
     """
     offset = F.col("offset") if "offset" in raw.columns else F.lit(None)
-    parsed = raw.select(F.from_json("value", ENVELOPE).alias("e"), offset.cast("bigint").alias("_offset"))
-    op, before, after = F.col("e.op"), F.col("e.before"), F.col("e.after")
+    parsed = parse(raw, offset.cast("bigint").alias("_offset"))
+    op, before, after = F.col("op"), F.col("e.before"), F.col("e.after")
     key = [spec.payload[name] for name in spec.key]
     old, new = ([_column(side, spec, f) for f in key] for side in (before, after))
     moved = F.lit(True)
