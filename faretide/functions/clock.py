@@ -19,11 +19,8 @@ WEEK_STARTS = ("monday", "sunday")
 
 def wall_clock(micros: Column) -> Column:
     """Epoch microseconds of a zone-less timestamp to TIMESTAMP_NTZ; NULL outside years 1-9999."""
-    seconds = micros.cast("decimal(20,0)") * F.expr("0.000001BD")
-    return F.when(
-        micros.between(MIN_MICROS, MAX_MICROS),
-        F.expr(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds),
-    )
+    since_epoch = F.expr("INTERVAL '0.000001' SECOND") * micros
+    return F.when(micros.between(MIN_MICROS, MAX_MICROS), F.expr(EPOCH) + since_epoch)
 
 
 def moment(value: Column | datetime | date | str | None) -> Column:

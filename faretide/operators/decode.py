@@ -1,13 +1,14 @@
 """Change envelopes ``{"op", "before", "after", "ts_ms"}`` to typed rows.
 
 A raw frame has a string column ``value`` and may have ``offset`` (position in its source).
-Each record is parsed once: the payload becomes a map of texts, so a column is found under any of
-its spellings (JSON names are case-sensitive) and a bad number spoils only its own column.
+Each record is parsed once, into texts: a column is found under any of its spellings (JSON names
+are case-sensitive), and a bad number spoils only its own column.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from faretide import schemas
 from faretide.functions import clock
 from faretide.schemas import ChangeSpec
 
-ENVELOPE = "op string, ts_ms string, before map<string,string>, after map<string,string>, broken string"
 UPSERT_OPS = ("c", "u", "r")  # create, update, snapshot read
 DELETE_OP = "d"
 
@@ -26,14 +26,36 @@ DELETE_OP = "d"
 ORDER = ("_ts_ms", "_offset", "_rank")
 
 
-def parse(raw: DataFrame, *columns: Column) -> DataFrame:
-    """The envelope of every record in ``e``, and its operation in ``op``: NULL for what is none.
+def _sides_as(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, schemas.STRING) for name in names])
+
+
+def _spelled(spec: ChangeSpec, separator: str | None = None) -> list[str]:
+    """Every spelling of every column; with ``separator`` as names that differ in more than case."""
+    names = []
+    for name in spec.payload.names:
+        for i, spelling in enumerate((name, *spec.spellings.get(name, ()))):
+            names.append(f"{name}{separator}{i}" if separator else spelling)
+    return names
+
+
+def parse(raw: DataFrame, spec: ChangeSpec | None = None, *columns: Column) -> DataFrame:
+    """``op``, ``ts_ms``, ``before`` and ``after`` of every record; ``op`` is NULL for what is no envelope.
 
     A record that is cut off counts as none, whatever could be read of it.
     """
+    fields = _sides_as(_spelled(spec) if spec else [])
+    envelope = schemas.struct(op=schemas.STRING, ts_ms=schemas.STRING, before=fields, after=fields, broken=schemas.STRING)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
-    parsed = raw.select(F.from_json("value", ENVELOPE, options).alias("e"), *columns)
-    return parsed.withColumn("op", F.when(F.col("e.broken").isNull(), F.col("e.op")))
+    parsed = raw.select(F.from_json("value", envelope, options).alias("e"), *columns)
+    op = F.when(F.col("e.broken").isNull(), F.col("e.op")).alias("op")
+    if not spec:
+        return parsed.select(op)
+    # Names that differ only in case cannot be told apart in a query: rename them by position.
+    distinct = _sides_as(_spelled(spec, "__"))
+    sides = [F.col(f"e.{side}").cast(distinct).alias(side) for side in ("before", "after")]
+    others = [c for c in parsed.columns if c != "e"]
+    return parsed.select(op, F.col("e.ts_ms").alias("ts_ms"), *sides, *others)
 
 
 def operation_counts(raw: DataFrame) -> DataFrame:
@@ -45,25 +67,28 @@ def operation_counts(raw: DataFrame) -> DataFrame:
 
 
 def _text(payload: Column, spec: ChangeSpec, name: str) -> Column:
-    spellings = (name, *spec.spellings.get(name, ()))
-    return F.coalesce(*[payload.getItem(s) for s in spellings]) if len(spellings) > 1 else payload.getItem(name)
-
-
-def _whole(text: Column, kind: str) -> Column:
-    # '3.0' is a valid 3; what is no number, or does not fit, is NULL.
-    return text.try_cast("decimal(38,6)").try_cast(kind)
+    spellings = range(1 + len(spec.spellings.get(name, ())))
+    texts = [payload.getField(f"{name}__{i}") for i in spellings]
+    return F.coalesce(*texts) if len(texts) > 1 else texts[0]
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
+    """A payload text as its type; NULL for what does not fit. A time stays in microseconds here."""
     if isinstance(kind, T.StringType):
         return text
+    if isinstance(kind, T.IntegerType):
+        # '3.0' is a valid 3. Every INT is exact as a double.
+        return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
     if isinstance(kind, T.TimestampNTZType):
-        return clock.wall_clock(_whole(text, "bigint"))
-    if isinstance(kind, (T.IntegerType, T.LongType)):
-        return _whole(text, kind.simpleString())
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
     return text.try_cast(kind)
 
 
+def _with_times(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    times = [f.name for f in fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({name: clock.wall_clock(F.col(name)) for name in times})
+
+
 def _zero(kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return F.lit("")
@@ -83,45 +108,35 @@ def decode_changes(raw: DataFrame, spec: ChangeSpec) -> DataFrame:
     the new one. Unknown operations, tombstones and broken records yield none.
     """
     offset = F.col("offset") if "offset" in raw.columns else F.lit(None)
-    parsed = parse(raw, offset.cast("bigint").alias("_offset"))
-    op, before, after = F.col("op"), F.col("e.before"), F.col("e.after")
-    key = [spec.payload[name] for name in spec.key]
-    old, new = ([_column(side, spec, f) for f in key] for side in (before, after))
-    moved = F.lit(True)
-    for part in old:
-        moved = moved & part.isNotNull()
-    differs = F.lit(False)
-    for left, right in zip(old, new):
-        differs = differs | ~left.eqNullSafe(right)
+    parsed = parse(raw, spec, offset.cast("bigint").alias("_offset"))
+    op, before, after = F.col("op"), F.col("before"), F.col("after")
+    # Texts as sent: one producer writes a value the same way on both sides.
+    old, new = ([_text(side, spec, name) for name in spec.key] for side in (before, after))
+    moved = reduce(Column.__and__, [part.isNotNull() for part in old]) & reduce(
+        Column.__or__, [~left.eqNullSafe(right) for left, right in zip(old, new)]
+    )
     gone = F.struct(F.lit(True).alias("_is_delete"), before.alias("payload"))
     kept = F.struct(F.lit(False).alias("_is_delete"), after.alias("payload"))
     sides = (
         F.when(op == DELETE_OP, F.array(gone))
-        .when((op == "u") & moved & differs, F.array(gone, kept))
+        .when((op == "u") & moved, F.array(gone, kept))
         .when(op.isin(*UPSERT_OPS), F.array(kept))
     )
     # explode() keeps later filters from pulling a second parse of the record below it.
-    rows = parsed.select(
-        F.explode(sides).alias("side"),
-        op.alias("_operation"),
-        F.col("e.ts_ms").try_cast("bigint").alias("_ts_ms"),
-        "_offset",
-    )
-    payload = F.col("side.payload")
-    rank = F.when(F.col("_operation") == "r", 0).when(F.col("_operation") == "c", 1)
-    rank = rank.when(F.col("side._is_delete"), 3).otherwise(2)
+    rows = parsed.select(F.explode(sides).alias("side"), "op", "ts_ms", "_offset")
+    payload, is_delete = F.col("side.payload"), F.col("side._is_delete")
+    if spec.drop_null_payload:
+        rows = rows.filter(is_delete | payload.isNotNull())
+    rank = F.when(op == "r", 0).when(op == "c", 1).when(is_delete, 3).otherwise(2)
     decoded = rows.select(
         *[_column(payload, spec, f).alias(f.name) for f in spec.payload.fields],
-        F.col("side._is_delete").alias("_is_delete"),
-        F.when(F.col("side._is_delete"), DELETE_OP).otherwise(F.col("_operation")).alias("_operation"),
-        "_ts_ms",
+        is_delete.alias("_is_delete"),
+        F.when(is_delete, DELETE_OP).otherwise(op).alias("_operation"),
+        F.col("ts_ms").try_cast("bigint").alias("_ts_ms"),
         "_offset",
         rank.alias("_rank"),
-        payload.isNull().alias("_no_payload"),
     )
-    if spec.drop_null_payload:
-        decoded = decoded.filter(F.col("_is_delete") | ~F.col("_no_payload"))
-    return decoded.drop("_no_payload")
+    return _with_times(decoded, spec.payload.fields)
 
 
 def fill_defaults(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
