@@ -58,7 +58,7 @@ def gold_zone_performance_bench(spark, d):
 @query(ZONE.format(source="trips"))
 def gold_zone_from_hourly(spark, d):
     hourly = gold.hourly_metrics(v.trips(spark, d), v.zones(spark, d))
-    rows = gold.zone_performance_from_hourly(hourly, v.zones(spark, d))
+    rows = gold.zone_performance_from_daily(gold.zone_daily(hourly), v.zones(spark, d))
     return gold.report_columns(rows).drop("last_updated")
 
 
@@ -85,7 +85,7 @@ def gold_borough_summary(spark, d):
 @query(BOROUGH)
 def gold_borough_from_hourly(spark, d):
     hourly = gold.hourly_metrics(v.trips(spark, d), v.zones(spark, d))
-    rows = gold.borough_summary_from_hourly(hourly, v.zones(spark, d))
+    rows = gold.borough_summary_from_daily(gold.zone_daily(hourly), v.zones(spark, d))
     return gold.report_columns(rows).drop("last_updated")
 
 

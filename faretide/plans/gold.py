@@ -1,9 +1,10 @@
 """Gold tables.
 
-Trips are scanned once and reduced to one row per day, hour, pickup and drop-off zone. The zone
-and borough tables are formed from those rows, so a refresh reads only the silver partitions of
-the days that changed, and the history only in its reduced form. Beside its averages every gold
-row keeps the sums behind them (``SUMS``): coarser averages then weigh every trip the same.
+Trips are scanned once and reduced to one row per day, hour, pickup and drop-off zone. Those rows
+are reduced to one per day and zone, and the zone and borough tables are formed from these. So a
+refresh reads only the silver partitions of the days that changed, and of the history only a few
+hundred rows per day. Beside its averages every gold row keeps the sums behind them (``SUMS``):
+coarser averages then weigh every trip the same.
 
 ``zones`` has one row per ``LocationID``. No side of a join is forced to be broadcast; Spark does
 so where the size it knows allows, and sorts and merges otherwise.
@@ -89,37 +90,46 @@ def hourly_metrics(trips: DataFrame, zones: DataFrame, processed_time: Column |
     ).select(*schemas.GOLD_HOURLY.schema.names)
 
 
-def _sides(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Every pickup/drop-off pair seen from both its zones, from one pass over the pairs.
+_REDUCED = ("trip_count", "total_revenue", *SUMS)
 
-    The drop-off side carries its trip count only.
+
+def _by_zone(pairs: DataFrame, *keys: str) -> DataFrame:
+    """Pickup/drop-off pairs reduced to zones, both sides in one pass over the pairs.
+
+    A pair counts for its pickup zone with all figures and for its drop-off zone as one drop-off.
+    A missing zone id matches nothing, so its pickups and its drop-offs stay two rows, told apart
+    by ``is_pickup``; that column is NULL for known zones.
     """
-    measures_kept = ("trip_count", "total_revenue", *SUMS)
     kinds = {f.name: f.dataType for f in pairs.schema.fields}
-    pickup = F.struct(
-        F.col("pulocationid").alias("zone_id"),
-        F.lit(True).alias("is_pickup"),
-        *[F.col(m) for m in measures_kept],
-        F.lit(None).cast("bigint").alias("dropoff_count"),
-    )
-    dropoff = F.struct(
-        F.col("dolocationid").alias("zone_id"),
-        F.lit(False).alias("is_pickup"),
-        *[F.lit(None).cast(kinds[m]).alias(m) for m in measures_kept],
-        F.col("trip_count").alias("dropoff_count"),
-    )
-    return pairs.select(*keys, F.inline(F.array(pickup, dropoff)))
+
+    def side(zone: str, is_pickup: bool) -> Column:
+        figures = [F.col(m) if is_pickup else F.lit(None).cast(kinds[m]).alias(m) for m in _REDUCED]
+        dropoffs = F.lit(None).cast("bigint") if is_pickup else F.col("trip_count")
+        apart = F.when(F.col(zone).isNull(), F.lit(is_pickup))
+        return F.struct(
+            F.col(zone).alias("zone_id"), apart.alias("is_pickup"), *figures, dropoffs.alias("dropoff_count")
+        )
+
+    both = pairs.select(*keys, F.inline(F.array(side("pulocationid", True), side("dolocationid", False))))
+    return both.groupBy(*keys, "zone_id", "is_pickup").agg(*_totals("dropoff_count"))
 
 
-def _zone_rows(pairs: DataFrame, zones: DataFrame, processed_time: Column | None) -> DataFrame:
-    # A missing zone id matches nothing: its pickups and its drop-offs stay two rows.
-    apart = F.when(F.col("zone_id").isNull(), F.col("is_pickup"))
-    rows = _sides(pairs).groupBy("zone_id", apart.alias("apart")).agg(*_totals("dropoff_count"))
+def zone_daily(trips_or_hourly: DataFrame) -> DataFrame:
+    """Pickups and drop-offs per pickup day and zone, from trips or from the hourly gold table."""
+    if "metric_date" in trips_or_hourly.columns:
+        pairs = trips_or_hourly.select("metric_date", "pulocationid", "dolocationid", *_REDUCED)
+    else:
+        day = F.to_date(filters.PICKUP).alias("metric_date")
+        pairs = trips_or_hourly.groupBy(day, "pulocationid", "dolocationid").agg(*_trip_totals())
+    return _by_zone(pairs, "metric_date").select(*schemas.GOLD_ZONE_DAILY.schema.names)
+
+
+def _zone_rows(by_zone: DataFrame, zones: DataFrame, processed_time: Column | None) -> DataFrame:
     names = zones.select(
         F.col("LocationID").alias("zone_id"), F.col("Zone").alias("zone_name"), F.col("Borough").alias("borough")
     )
     return (
-        _averages(rows)
+        _averages(by_zone)
         .join(names, "zone_id", "left")
         .withColumns(
             {
@@ -135,23 +145,26 @@ def _zone_rows(pairs: DataFrame, zones: DataFrame, processed_time: Column | None
 def zone_performance(trips: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
     """Pickups, drop-offs, revenue and averages per zone; zones with drop-offs only have NULL pickups."""
     pairs = trips.groupBy("pulocationid", "dolocationid").agg(*_trip_totals())
-    return _zone_rows(pairs, zones, processed_time)
+    return _zone_rows(_by_zone(pairs), zones, processed_time)
 
 
-def zone_performance_from_hourly(
-    hourly: DataFrame, zones: DataFrame, processed_time: Column | None = None
-) -> DataFrame:
-    """The same from the hourly gold table."""
-    return _zone_rows(hourly.select("pulocationid", "dolocationid", *_GOLD_INPUT), zones, processed_time)
+def zone_performance_from_daily(daily: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
+    """The same from the daily rows."""
+    return _zone_rows(daily.groupBy("zone_id", "is_pickup").agg(*_totals("dropoff_count")), zones, processed_time)
 
 
-_GOLD_INPUT = ("trip_count", "total_revenue", *SUMS)
+def borough_summary(trips: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
+    """Trips per pickup borough and day.
+
+    ``trip_count_dropoff`` counts the trips of that pickup day which end in the borough.
+    """
+    return borough_summary_from_daily(zone_daily(trips), zones, processed_time)
 
 
-def _borough_rows(pairs: DataFrame, zones: DataFrame, processed_time: Column | None) -> DataFrame:
-    by_zone = _sides(pairs, ["metric_date"]).groupBy("metric_date", "zone_id").agg(*_totals("dropoff_count"))
+def borough_summary_from_daily(daily: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
+    """The same from the daily rows."""
     rows = (
-        by_zone.join(_boroughs(zones, "zone_id", "borough"), "zone_id", "left")
+        daily.join(_boroughs(zones, "zone_id", "borough"), "zone_id", "left")
         .groupBy("borough", "metric_date")
         .agg(*_totals("dropoff_count"))
         .filter(F.col("trip_count").isNotNull())
@@ -170,42 +183,28 @@ def _borough_rows(pairs: DataFrame, zones: DataFrame, processed_time: Column | N
     )
 
 
-def borough_summary(trips: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
-    """Trips per pickup borough and day.
-
-    ``trip_count_dropoff`` counts the trips of that pickup day which end in the borough.
-    """
-    pairs = trips.groupBy(
-        F.to_date(filters.PICKUP).alias("metric_date"), "pulocationid", "dolocationid"
-    ).agg(*_trip_totals())
-    return _borough_rows(pairs, zones, processed_time)
-
-
-def borough_summary_from_hourly(
-    hourly: DataFrame, zones: DataFrame, processed_time: Column | None = None
-) -> DataFrame:
-    """The same from the hourly gold table."""
-    pairs = hourly.select("metric_date", "pulocationid", "dolocationid", *_GOLD_INPUT)
-    return _borough_rows(pairs, zones, processed_time)
-
-
 def refresh(lake, silver: DataFrame, zones: DataFrame, dates: Sequence[date | None] | None = None) -> None:
     """Bring the stored gold tables up to date with silver.
 
     With ``dates``, the pickup days that changed, only those days of silver are read, and of the
-    two tables split by day only those days are replaced, days that ran empty included. Without,
+    tables split by day only those days are replaced, days that ran empty included. Without,
     everything is. ``silver`` has the stored ``row_date`` column.
     """
-    hourly_table, borough_table, zone_table = schemas.GOLD_HOURLY, schemas.GOLD_BOROUGH, schemas.GOLD_ZONE
+    hourly_table, daily_table = schemas.GOLD_HOURLY, schemas.GOLD_ZONE_DAILY
     if dates is None:
         changed, scope = silver, lake.partition_values(hourly_table)
     else:
         changed, scope = silver.filter(F.col("row_date").isin(*dates)), [str(d) for d in dates]
-    lake.replace_partitions(hourly_metrics(changed, zones), hourly_table, scope)
 
-    hourly = lake.read(hourly_table)
-    fresh = hourly if dates is None else hourly.filter(F.col("metric_date").isin(*dates))
-    lake.replace_partitions(borough_summary_from_hourly(fresh, zones), borough_table, scope)
+    def fresh(table: schemas.TableSpec) -> DataFrame:
+        rows = lake.read(table)
+        return rows if dates is None else rows.filter(F.col("metric_date").isin(*dates))
+
+    lake.replace_partitions(hourly_metrics(changed, zones), hourly_table, scope)
+    lake.replace_partitions(zone_daily(fresh(hourly_table)), daily_table, scope)
+    lake.replace_partitions(borough_summary_from_daily(fresh(daily_table), zones), schemas.GOLD_BOROUGH, scope)
     lake.replace_partitions(
-        zone_performance_from_hourly(hourly, zones), zone_table, lake.partition_values(zone_table)
+        zone_performance_from_daily(lake.read(daily_table), zones),
+        schemas.GOLD_ZONE,
+        lake.partition_values(schemas.GOLD_ZONE),
     )

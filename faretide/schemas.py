@@ -181,6 +181,23 @@ GOLD_HOURLY = TableSpec(
     sort_by=("metric_hour", "pulocationid"),
 )
 
+# Not a report: what the zone and borough tables are formed from.
+GOLD_ZONE_DAILY = TableSpec(
+    "gold_zone_daily",
+    plus(
+        struct(
+            metric_date=DATE,
+            zone_id=INT,
+            is_pickup=BOOLEAN,
+            trip_count=LONG,
+            total_revenue=DOUBLE,
+        ),
+        GOLD_SUMS,
+        struct(dropoff_count=LONG),
+    ),
+    partitions=("metric_date",),
+)
+
 GOLD_ZONE = TableSpec(
     "gold_zone_performance",
     plus(
