@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,13 @@ def file_profile(spark: SparkSession, paths: str | Sequence[str], column: str =
     return named.filter(F.col("start_date").isNotNull())
 
 
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Path and name of every parquet file, from the directory listing alone."""
+    found = spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).inputFiles()
+    rows = [(path, path.rsplit("/", 1)[-1]) for path in found]
+    return spark.createDataFrame(rows, "file_path string, file_name string")
+
+
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger does not list."""
     return files.join(ledger.select("file_name"), "file_name", "left_anti").select(*files.columns)
@@ -98,19 +106,23 @@ def coverage_gaps(ranges: DataFrame, weather: DataFrame, as_of=None) -> DataFram
 def load_files(spark: SparkSession, glob: str, lake) -> list[str]:
     """Append the trip files the ledger does not list to ``yellow_taxi_trips``, then list them.
 
-    Only file names pass through the driver. The table is split by file, and a file's directory is
-    replaced as a whole, so a load that died between the two steps leaves no doubles when repeated.
+    Only file names pass through the driver. The files of a job are loaded together, each with its
+    own column types (they changed over the years). The table is split by file, and a file's
+    directory is replaced as a whole, so a load that died before the ledger was written leaves no
+    doubles when it is repeated.
     """
-    files = unprocessed(file_profile(spark, glob), lake.read(LEDGER_TABLE))
-    todo = {row["file_name"]: row["file_path"] for row in files.select("file_name", "file_path").collect()}
-    for name, path in sorted(todo.items()):
-        rows = normalize_columns(spark.read.parquet(path)).withColumn("source_file", F.lit(name))
-        lake.replace_partitions(rows, TRIP_FILES_TABLE)
-        entry = spark.range(1).select(F.lit(name).alias("file_name"), F.current_timestamp().alias("ingested_at"))
-        lake.append(entry, LEDGER_TABLE)
-    return sorted(todo)
-
-
+    files = unprocessed(list_files(spark, glob), lake.read(LEDGER_TABLE))
+    todo = sorted((row["file_name"], row["file_path"]) for row in files.collect())
+    for first in range(0, len(todo), FILES_PER_JOB):
+        part = todo[first : first + FILES_PER_JOB]
+        rows = [normalize_columns(spark.read.parquet(p)).withColumn("source_file", F.lit(n)) for n, p in part]
+        lake.replace_partitions(reduce(DataFrame.unionByName, rows), TRIP_FILES_TABLE)
+        entries = spark.createDataFrame([(n,) for n, _ in part], "file_name string")
+        lake.append(entries.withColumn("ingested_at", F.current_timestamp()), LEDGER_TABLE)
+    return [name for name, _ in todo]
+
+
+FILES_PER_JOB = 64
 LEDGER_TABLE = schemas.TableSpec("ingestion_log", schemas.LEDGER)
 TRIP_FILES_TABLE = schemas.TableSpec(
     "yellow_taxi_trips",

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 EXPECTED_ZONES = 265
 MIN_SILVER_ROWS = 1000
@@ -31,10 +32,10 @@ def compare_layers(layers: Mapping[str, DataFrame | tuple[DataFrame, str]], sour
         else:
             rows = layer.agg(F.count("*").alias("records"))
         counts.append(rows.select(F.lit(name).alias("layer"), "records"))
-    # One row per layer from here on.
+    # One row per layer from here on, so one task may see them all.
     every = reduce(DataFrame.unionByName, counts)
-    expected = counts[list(layers).index(source)].select("records")
-    return every.withColumn("difference", F.col("records") - expected.scalar()).withColumn(
+    expected = F.max(F.when(F.col("layer") == source, F.col("records"))).over(Window.partitionBy())
+    return every.withColumn("difference", F.col("records") - expected).withColumn(
         "status", F.when(F.col("difference") == 0, "match").otherwise("differs")
     )
 

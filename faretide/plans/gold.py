@@ -196,13 +196,10 @@ def refresh(lake, silver: DataFrame, zones: DataFrame, dates: Sequence[date | No
     else:
         changed, scope = silver.filter(F.col("row_date").isin(*dates)), [str(d) for d in dates]
 
-    def fresh(table: schemas.TableSpec) -> DataFrame:
-        rows = lake.read(table)
-        return rows if dates is None else rows.filter(F.col("metric_date").isin(*dates))
-
     lake.replace_partitions(hourly_metrics(changed, zones), hourly_table, scope)
-    lake.replace_partitions(zone_daily(fresh(hourly_table)), daily_table, scope)
-    lake.replace_partitions(borough_summary_from_daily(fresh(daily_table), zones), schemas.GOLD_BOROUGH, scope)
+    lake.replace_partitions(zone_daily(lake.read(hourly_table, dates)), daily_table, scope)
+    daily = lake.read(daily_table, dates)
+    lake.replace_partitions(borough_summary_from_daily(daily, zones), schemas.GOLD_BOROUGH, scope)
     lake.replace_partitions(
         zone_performance_from_daily(lake.read(daily_table), zones),
         schemas.GOLD_ZONE,

@@ -49,12 +49,20 @@ class Lake:
 
     # -- reading -------------------------------------------------------------------------------
 
-    def read(self, table: TableSpec) -> DataFrame:
-        """The table; empty when nothing was written yet. No footers are read for the schema."""
-        if not self.exists(table):
+    def read(self, table: TableSpec, values: Iterable[object] | None = None) -> DataFrame:
+        """The table; empty when nothing was written yet. No footers are read for the schema.
+
+        With ``values`` of the first partition column only those directories are listed and read,
+        however many others there are.
+        """
+        paths = [self.path(table)] if self.exists(table) else []
+        if values is not None:
+            _, folders = self._partition_folders(table)
+            paths = [folders[v].toString() for v in map(_directory_value, values) if v in folders]
+        if not paths:
             return self.spark.createDataFrame([], table.schema)
-        columns = self.spark.read.schema(table.schema).parquet(self.path(table))
-        return columns.select(*table.schema.names)
+        reader = self.spark.read.schema(table.schema).option("basePath", self.path(table))
+        return reader.parquet(*paths).select(*table.schema.names)
 
     def read_stream(self, table: TableSpec, max_files: int | None = None) -> DataFrame:
         """The files of an append-only table as a stream."""

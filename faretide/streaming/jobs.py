@@ -118,12 +118,10 @@ def current_rows(lake: Lake, target: Target, values: list[object] | None = None)
     """The live rows according to the logs, of all partitions or of some."""
     spec = target.spec
     columns = [*spec.payload.names, "_processing_time", "_operation", *decode.ORDER, "_batch", spec.partition]
-    changes = lake.read(target.log).select(*columns, F.lit(False).alias("_is_delete"))
+    changes = lake.read(target.log, values).select(*columns, F.lit(False).alias("_is_delete"))
     if spec.apply_deletes:
-        gone = lake.read(target.deletes).withColumn("_is_delete", F.lit(True))
+        gone = lake.read(target.deletes, values).withColumn("_is_delete", F.lit(True))
         changes = changes.unionByName(gone.drop("_deleted_at"), allowMissingColumns=True)
-    if values is not None:
-        changes = changes.filter(F.col(spec.partition).isin(*values))
     # The batch settles what the source left open; the rank comes after it only within a batch.
     order = ["_ts_ms", "_offset", "_batch", "_rank"]
     return merge.latest_state(changes, spec.key, order).select(*target.current.schema.names)
@@ -196,7 +194,7 @@ def start_gold(
     def refresh(batch: DataFrame, batch_id: int) -> None:
         dates = [row[0] for row in batch.select(target.spec.partition).distinct().collect()]
         if dates:
-            gold.refresh(lake, lake.read(target.current), zones(), dates)
+            gold.refresh(lake, lake.read(target.current, dates), zones(), dates)
 
     return (
         lake.read_stream(target.commits)
