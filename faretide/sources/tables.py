@@ -193,8 +193,9 @@ def apply_retention(df: DataFrame, column: str, days: int = 365, as_of=None) ->
 
 
 def expire(lake: Lake, table: TableSpec, days: int, as_of: datetime) -> list[str]:
-    """Drop the day partitions that lie wholly before the retention limit; gives their values."""
-    limit = date.fromordinal(as_of.date().toordinal() - days).isoformat()
-    old = [v for v in lake.partition_values(table) if v != NULL_PARTITION and v < limit]
+    """Drop the day or month partitions that lie wholly before the retention limit; gives their values."""
+    limit = date.fromordinal(as_of.date().toordinal() - days)
+    before = {len("2024-01-31"): limit.isoformat(), len("202401"): limit.strftime("%Y%m")}
+    old = [v for v in lake.partition_values(table) if len(v) in before and v < before[len(v)]]
     lake.drop_partitions(table, old)
     return old

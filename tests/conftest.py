@@ -11,7 +11,12 @@ from faretide import session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     spark = session.build(
-        "tests", "local[4]", spark__ui__enabled="false", spark__sql__shuffle__partitions="4"
+        "tests",
+        "local[4]",
+        spark__ui__enabled="false",
+        spark__sql__shuffle__partitions="4",
+        # Many small queries, each run once: the slow compiler does not pay off.
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from faretide.operators import ingest, recon
-from faretide.schemas import DATE, INT, ZONE, TableSpec, struct
+from faretide.schemas import DATE, INT, STRING, ZONE, TableSpec, struct
 from faretide.sources import changes, files, tables
 from tests.helpers import dicts, trips, weather, zones
 
@@ -55,6 +55,11 @@ def test_retention(spark, lake):
     lake.replace_partitions(rows, DAILY)
     assert tables.expire(lake, DAILY, 365, datetime(2024, 12, 31)) == ["2023-01-01"]
     assert [x for x, _ in contents(lake)] == [2, 3]
+    monthly = TableSpec("monthly", struct(x=INT, month=STRING), ("month",))
+    rows = spark.createDataFrame([(1, "202312"), (2, "202401"), (3, "202402"), (4, None)], monthly.schema)
+    lake.replace_partitions(rows, monthly)
+    assert tables.expire(lake, monthly, 365, datetime(2025, 1, 31)) == ["202312", "202401"]
+    assert sorted(r["x"] for r in lake.read(monthly).collect()) == [3, 4]
     t = trips(spark, {"pickup": "2024-01-01 11:59:59"}, {"pickup": "2024-01-01 12:00:00"})
     assert tables.apply_retention(t, "tpep_pickup_datetime", 365, "2024-12-31 12:00:00").count() == 1
 
