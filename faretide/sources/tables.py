@@ -169,7 +169,10 @@ def _directory_value(value: object) -> str:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``, in its order and with its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[f.name if kinds[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def read_first(readers: Sequence[Callable[[], DataFrame]]) -> DataFrame:

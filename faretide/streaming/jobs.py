@@ -123,7 +123,8 @@ def current_rows(lake: Lake, target: Target, values: list[object] | None = None)
         gone = lake.read(target.deletes, values).withColumn("_is_delete", F.lit(True))
         changes = changes.unionByName(gone.drop("_deleted_at"), allowMissingColumns=True)
     # The batch settles what the source left open; the rank comes after it only within a batch.
-    order = ["_ts_ms", "_offset", "_batch", "_rank"]
+    # Versions that tie even so are told apart by their values, so that a repeated attempt agrees.
+    order = ["_ts_ms", "_offset", "_batch", "_rank", F.xxhash64(*spec.payload.names)]
     return merge.latest_state(changes, spec.key, order).select(*target.current.schema.names)
 
 
