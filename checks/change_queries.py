@@ -99,7 +99,12 @@ def cdc_snapshot_rows(spark, d):
     return decode.decode_upserts(raw, TRIP_CHANGES).select(*schemas.TRIP.names)
 
 
-@query()
+@query(
+    """
+SELECT * FROM (VALUES ('time', 'bigint'), ('temperature', 'float'), ('precipitation', 'float'), ('humidity', 'float'),
+  ('windspeed', 'float')) AS t("column", "type")
+"""
+)
 def cdc_inferred_schema(spark, d):
     """Columns of the envelope as guessed from a record."""
     inferred = decode.infer_payload_schema(v.weather_changes(spark, d))
