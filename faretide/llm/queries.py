@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faretide.llm import line_dedup, quality_lines
+from faretide.llm import line_dedup, quality_lines, superkmer_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,8 @@ def op6_quality_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query(line_dedup.REPORT_SQL)
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_report(table(spark, folder, "documents"))
+
+
+@query()
+def op9_superkmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return superkmer_dedup.dedup_passages(table(spark, folder, "documents"), keep_text=False)
