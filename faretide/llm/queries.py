@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faretide.llm import line_dedup, quality_lines, superkmer_dedup
+from faretide.llm import line_dedup, quality_lines, suffix_dedup, superkmer_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_superkmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return superkmer_dedup.dedup_passages(table(spark, folder, "documents"), keep_text=False)
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(table(spark, folder, "documents"), keep_text=False)
