@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faretide.llm import line_dedup, quality_lines, suffix_dedup, superkmer_dedup
+from faretide.llm import common, line_dedup, minhash_forest, quality_lines, suffix_dedup, superkmer_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,7 +23,7 @@ def query(oracle: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return common.importable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @query(quality_lines.REPORT_SQL)
@@ -44,3 +44,8 @@ def op9_superkmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(table(spark, folder, "documents"), keep_text=False)
+
+
+@query()
+def op2_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, folder, "documents"))
