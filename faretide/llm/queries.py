@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faretide.llm import common, decontaminate, line_dedup, minhash_forest, quality_lines, suffix_dedup, superkmer_dedup
+from faretide.llm import common, decontaminate, licenses, line_dedup, minhash_forest, quality_lines, suffix_dedup, superkmer_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,8 @@ def op2_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "covered", "item_words", "coverage")
+
+
+@query()
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("spans")
