@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +42,35 @@ def lines(text: Column) -> Column:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """The frame, computed once into the session's shared checkpoint folder, so that a lost executor loses none of it."""
+    """The frame, written once as a compressed table under the session's shared checkpoint folder and read back.
+
+    It survives lost executors and cuts the lineage. The tables stay in that folder until it is emptied.
+    """
     spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{folder.rstrip('/')}/work-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def apart(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` with a join key made of two integer ``keys``.
+
+    A count by the keys and a join by them would share one shuffle, whose large partitions Spark cannot split. Joined by
+    this key and the second of the two, each side gets a shuffle of its own, and a hot key is split.
+    """
+    return df.withColumn(name, F.col(keys[0]).bitwiseXOR(F.col(keys[1])))
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package also where it is neither installed nor on their path.
+
+    On a cluster the package is installed or given by ``--py-files``; there the added folder does nothing.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark

@@ -50,7 +50,8 @@ def dropped_positions(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -
         per_doc = hashes.groupBy(*HASH, "_id").agg(F.lit(1).alias("one"))
         per_hash = per_doc.groupBy(*HASH).agg(F.min("_id").alias("first_id"), F.count("one").alias("n_docs"))
         shared = per_hash.where(F.col("n_docs") >= min_docs).select(*HASH, "first_id")
-    repeats = hashes.join(shared, HASH).where("_id > first_id")
+    shared = common.apart(shared, HASH, "key").select("key", "hash_2", "first_id")
+    repeats = common.apart(hashes, HASH, "key").join(shared, ["key", "hash_2"]).where("_id > first_id")
     return repeats.groupBy("_id", "_text_hash").agg(F.array_distinct(F.collect_list("pos")).alias("dropped"))
 
 
