@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faretide.llm import common, decontaminate, licenses, line_dedup, minhash_forest, quality_lines, suffix_dedup, superkmer_dedup
+from faretide.llm import (
+    common,
+    decontaminate,
+    langid,
+    licenses,
+    line_dedup,
+    minhash_forest,
+    quality_lines,
+    sentencepiece_viterbi,
+    suffix_dedup,
+    superkmer_dedup,
+    url_rules,
+)
+
+#: The piece file; read on the driver only.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +76,20 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = Path(TOKENIZER).read_bytes()
+    return sentencepiece_viterbi.round_trip(table(spark, folder, "documents"), model)
+
+
+@query()
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_rules.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language_report(table(spark, folder, "documents")).drop("shares")
