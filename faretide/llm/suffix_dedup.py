@@ -22,6 +22,7 @@ one place, so that neither removes the other; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ _STEP = 7  # bytes in the first sort key: nine bits each, 0 past the end
 class SuffixArray:
     """The suffixes that start in the first ``n[i]`` bytes of each string, sorted, with the LCP to the one before."""
 
-    def __init__(self, strings: list[bytes], n: np.ndarray, least: int):
+    def __init__(self, strings: list[bytes], n: np.ndarray):
         pad = bytes(_STEP)
         data = np.frombuffer(pad.join(strings) + pad, np.uint8)
         sizes = np.array([len(s) for s in strings])
@@ -59,7 +60,7 @@ class SuffixArray:
         while len(open_) and reach < longest:
             rank = levels[-1].copy()
             old, following = rank[open_], levels[-1][np.minimum(open_ + reach, end[open_])]
-            order = np.lexsort((following, old))
+            order = np.argsort((old << 32) | following)
             position, old, following = open_[order], old[order], following[order]
             group = arrays.groups(old)
             part = arrays.groups(old, following)
@@ -136,39 +137,69 @@ def _join(parent: list, child: list) -> list:
     return parent
 
 
+def joined(starts: list[int], size: int) -> list[dict]:
+    """The spans that strings of ``size`` from these sorted starts cover together."""
+    spans: list[dict] = []
+    for at in starts:
+        if spans and at <= spans[-1]["start"] + spans[-1]["size"]:
+            spans[-1]["size"] = at + size - spans[-1]["start"]
+        else:
+            spans.append({"start": at, "size": size})
+    return spans
+
+
 def _pack(window: int):
-    """One place of each contested piece with its bytes; the windows of hot ones each on its own, by hash."""
+    """One place of each contested piece with its bytes; of hot ones each different window once per batch, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             out: dict[str, list] = {k: [] for k in PACKED.names}
+
+            def put(*row):
+                for name, value in zip(out, row):
+                    out[name].append(value)
+
+            windows: dict[bytes, dict] = {}
             columns = (batch.column(c) for c in ("_id", "_text_hash", "text", "items"))
             for doc_id, text_hash, text, pieces in zip(*columns):
                 place, data = (doc_id.as_py(), text_hash.as_py()), text.as_py().encode()
                 for item in pieces.as_py():
                     begin, n = item["start"], item["n"]
-                    if item["hot"]:
-                        rows = []
-                        for at in range(begin, begin + n):
-                            digest = hashlib.blake2b(data[at : at + window], digest_size=16).digest()
-                            rows.append((at, 1, *np.frombuffer(digest, np.int64).tolist(), None))
-                    else:
-                        rows = [(begin, n, item["mini"], item["piece"], data[begin : begin + n + window - 1])]
-                    for at, size, one, two, string in rows:
-                        for name, value in zip(out, (*place, at, size, item["hot"], one, two, string)):
-                            out[name].append(value)
+                    if not item["hot"]:
+                        put(*place, begin, n, item["mini"], None, data[begin : begin + n + window - 1], None)
+                        continue
+                    for at in range(begin, begin + n):
+                        digest = hashlib.blake2b(data[at : at + window], digest_size=16).digest()
+                        windows.setdefault(digest, {}).setdefault(place, []).append(at)
+            for digest, places in windows.items():
+                members = []
+                for place, starts in places.items():
+                    starts = sorted(set(starts))
+                    spans, rest = joined(starts, window), joined(starts[1:], window)
+                    members.append({"_id": place[0], "_text_hash": place[1], "start": starts[0], "spans": spans, "rest": rest})
+                first = min((m["_id"], m["_text_hash"], m["start"]) for m in members)
+                count = sum(len(x) for x in places.values())
+                put(*first, count, *np.frombuffer(digest, np.int64).tolist(), None, members)
             yield pa.RecordBatch.from_pydict(out, schema=PACKED)
 
     return run
 
 
+SPAN_LIST = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())]))
+MEMBERS = pa.list_(
+    pa.struct([(c, pa.int64()) for c in buckets.PLACE] + [("spans", SPAN_LIST), ("rest", SPAN_LIST)])
+)
 PACKED = pa.schema(
-    [(k, pa.int64()) for k in ("_id", "_text_hash", "start", "n")]
-    + [("hot", pa.bool_()), ("hash_1", pa.int64()), ("hash_2", pa.int64()), ("packed", pa.binary())]
+    [(k, pa.int64()) for k in ("_id", "_text_hash", "start", "n", "hash_1", "hash_2")]
+    + [("packed", pa.binary()), ("members", MEMBERS)]
+)
+PACKED_SQL = (
+    "_id long, _text_hash long, start long, n long, hash_1 long, hash_2 long, packed binary, "
+    "members array<struct<_id:bigint,_text_hash:bigint,start:bigint,spans:array<struct<start:bigint,size:bigint>>,"
+    "rest:array<struct<start:bigint,size:bigint>>>>"
 )
-PACKED_SQL = "_id long, _text_hash long, start long, n long, hot boolean, hash_1 long, hash_2 long, packed binary"
 SPANS = "_id long, _text_hash long, start long, size long"
-GROUPS = "group_id string, length long, _id long, _text_hash long, start long"
+GROUPS = f"array string, rank long, {SPANS.rpartition(',')[0]}, groups array<struct<length:bigint,last:bigint>>"
 
 
 def _scan(window: int, least_bytes: int, groups_too: bool):
@@ -178,40 +209,49 @@ def _scan(window: int, least_bytes: int, groups_too: bool):
             document = np.empty(len(ids), np.int64)
             order = np.lexsort((hashes, ids))
             document[order] = arrays.groups(ids[order], hashes[order])
-            strings = table.column("packed").to_pylist()
-            array = SuffixArray(strings, n, window)
+            array = SuffixArray(table.column("packed").to_pylist(), n)
             start = starts[array.string] + array.at - array.first[array.string]
             place = document[array.string] * (int(starts.max(initial=0) + n.max(initial=0)) + 1) + start
-            rows, sizes, names = [], [], []
+            rows, found = [], []
             for low, high in array.runs(window):
                 before = array.before[low:high].tolist()
                 if len(set(before)) == 1:
                     continue  # the same members one byte to the left hold it
                 lcp = array.lcp[low:high].tolist()
+                opened: dict[int, list] = {}
                 for length, first, last, losers in intervals(lcp, before, place[low:high].tolist(), window):
-                    members = range(low + first, low + last) if groups_too else [low + x for x in losers]
-                    rows.extend(members)
-                    sizes.extend([length] * len(members))
                     if groups_too:
-                        name = hashlib.blake2b(strings[array.string[low + first]][int(array.at[low + first] - array.first[array.string[low + first]]) :][:length], digest_size=16).hexdigest()
-                        names.extend([name] * len(members))
+                        opened.setdefault(first, []).append({"length": length, "last": low + last - 1})
+                    else:
+                        rows.extend(low + x for x in losers)
+                        found.extend([length] * len(losers))
+                if opened:
+                    rows.extend(range(low, high))
+                    found.extend(opened.get(x, []) for x in range(high - low))
             if not rows:
                 continue
-            take, size = np.array(rows), pa.array(sizes, pa.int64())
+            take = np.array(rows)
             string = array.string[take]
-            found = [pa.array(ids[string]), pa.array(hashes[string]), pa.array(start[take])]
+            columns = [pa.array(ids[string]), pa.array(hashes[string]), pa.array(start[take])]
+            names = ["_id", "_text_hash", "start"]
             if groups_too:
-                yield pa.RecordBatch.from_arrays([pa.array(names), size, *found], names=["group_id", "length", "_id", "_text_hash", "start"])
+                name = uuid.uuid4().hex
+                columns = [pa.array([name] * len(take)), pa.array(take), *columns, pa.array(found, GROUP_LIST)]
+                names = ["array", "rank", *names, "groups"]
             else:
-                yield pa.RecordBatch.from_arrays([*found, size], names=["_id", "_text_hash", "start", "size"])
+                columns, names = [*columns, pa.array(found, pa.int64())], [*names, "size"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
+GROUP_LIST = pa.list_(pa.struct([("length", pa.int64()), ("last", pa.int64())]))
+
+
 class Repeats:
     """The pieces of ``docs`` and what repeats in them; ``window`` bytes at least."""
 
-    def __init__(self, docs: DataFrame, window: int = 100, gram: int = 16, hot: int = 64, bucket_bytes: int = 2 << 20):
+    def __init__(self, docs: DataFrame, window: int = 100, gram: int = 32, hot: int = 2048, bucket_bytes: int = 2 << 20):
         self.window, self.bucket_bytes = window, bucket_bytes
         self.found = common.saved(buckets.candidates(docs, buckets.byte_units, window, gram))
         self.unique = common.saved(buckets.distinct(self.found))
@@ -219,11 +259,16 @@ class Repeats:
         lists = buckets.with_lists(docs, wanted, ["mini", "piece", "start", "n", "hot"], "inner")
         rows = lists.select("_id", "_text_hash", "text", "items").mapInArrow(_pack(window), PACKED_SQL)
         self.packed = common.saved(rows)
-        cold = self.packed.where("NOT hot")
+        cold = self.packed.where("packed IS NOT NULL").drop("members")
         self.cold = cold.repartition("hash_1").sortWithinPartitions("hash_1")
 
     def groups(self) -> DataFrame:
-        """(group_id, length, _id, _text_hash, start): maximal repeats of the cold buckets with all members."""
+        """Maximal repeats of the cold buckets: a row for each member suffix, by its rank in its suffix array.
+
+        ``groups`` lists the repeats that begin at this rank: their length, and the rank of their last member. All
+        occurrences of a repeat are the rows of that ``array`` from the one rank to the other, so that nested repeats
+        do not list their members again.
+        """
         return self.cold.mapInArrow(_scan(self.window, self.bucket_bytes, True), GROUPS)
 
     def copies(self) -> DataFrame:
@@ -233,15 +278,29 @@ class Repeats:
         return later.select(*buckets.PLACE, "n")
 
     def later_spans(self) -> DataFrame:
-        """(_id, _text_hash, start, size): bytes that a string of ``window`` bytes covers which also starts earlier."""
+        """(_id, _text_hash, spans): bytes that a string of ``window`` bytes covers which also starts earlier."""
         size = (F.col("n") + self.window - 1).alias("size")
         whole = self.copies().select(*buckets.PLACE, size)
         tree = self.cold.mapInArrow(_scan(self.window, self.bucket_bytes, False), SPANS)
-        windows = self.packed.where("hot").select("hash_1", "hash_2", *buckets.PLACE)
-        first = windows.groupBy("hash_1", "hash_2").agg(F.min(F.struct(*buckets.PLACE)).alias("first"), F.count("*").alias("c"))
-        again = windows.join(first.where("c > 1").drop("c"), ["hash_1", "hash_2"]).where(F.struct(*buckets.PLACE) > F.col("first"))
-        single = again.select(*buckets.PLACE, F.lit(self.window).cast("long").alias("size"))
-        return whole.unionByName(tree).unionByName(single)
+        hashes, place = ["hash_1", "hash_2"], F.struct(*buckets.PLACE)
+        windows = self.packed.where("members IS NOT NULL")
+        first = windows.groupBy(*hashes).agg(F.min(place).alias("first"), F.sum("n").alias("c"))
+        first = common.apart(first.where("c > 1"), hashes, "key").select("key", "hash_2", "first")
+        again = common.apart(windows, hashes, "key").join(first, ["key", "hash_2"])
+        later = F.transform(
+            "members",
+            lambda m: F.struct(
+                m["_id"].alias("_id"),
+                m["_text_hash"].alias("_text_hash"),
+                F.when(F.struct(m["_id"], m["_text_hash"], m["start"]) > F.col("first"), m["spans"])
+                .otherwise(m["rest"])
+                .alias("spans"),
+            ),
+        )
+        later = F.filter(later, lambda m: F.size(m["spans"]) > 0)
+        single = again.select(F.explode(later).alias("m")).select("m.*")
+        whole = whole.unionByName(tree).select("_id", "_text_hash", F.array(F.struct("start", "size")).alias("spans"))
+        return whole.unionByName(single)
 
 
 def _remove(keep_text: bool):
@@ -276,6 +335,6 @@ def _remove(keep_text: bool):
 def dedup_bytes(docs: DataFrame, window: int = 100, keep_text: bool = True, **how) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, and the bytes left (``kept``) or their digest (``kept_sha256``)."""
     spans = Repeats(docs, window, **how).later_spans()
-    rows = buckets.with_lists(docs, spans, ["start", "size"], "left").select("doc_id", "text", "items")
+    rows = buckets.with_lists(docs, spans, ["spans"], "left").select("doc_id", "text", F.expr("flatten(items.spans)").alias("items"))
     last = "kept binary" if keep_text else "kept_sha256 string"
     return rows.mapInArrow(_remove(keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
