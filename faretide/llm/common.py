@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 from pathlib import Path
 
@@ -41,15 +43,25 @@ def lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``. Where it is unset, a folder of this machine serves, but only in local mode."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='work-')}")
+    return context.getCheckpointDir()
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The frame, written once as a compressed table under the session's shared checkpoint folder and read back.
 
     It survives lost executors and cuts the lineage. The tables stay in that folder until it is emptied.
     """
     spark: SparkSession = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = shared_folder(spark)
     path = f"{folder.rstrip('/')}/work-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
