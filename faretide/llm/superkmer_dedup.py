@@ -24,42 +24,52 @@ from pyspark.sql import functions as F
 
 from faretide.llm import arrays, buckets, common
 
-RUNS = "array<struct<at:bigint,n:bigint>>"
-
 
 def _pack(window: int):
-    """One place of each contested piece as a packed string; the windows of hot ones each on its own, by hash."""
+    """One place of each contested piece as a packed string; of hot ones each different window once per batch, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("mini", "piece", "at", "places", "hot", "hash_1", "hash_2", "packed")}
-            texts, items = batch.column("text"), batch.column("items")
-            for text, pieces in zip(texts, items):
+            out: dict[str, list] = {k: [] for k in PACKED.names}
+
+            def put(*row):
+                for name, value in zip(out, row):
+                    out[name].append(value)
+
+            windows: dict[bytes, list] = {}
+            for text, pieces in zip(batch.column("text"), batch.column("items")):
                 words = text.as_py().encode().split()
                 for item in pieces.as_py():
-                    begin, n = item["start"], item["n"]
-                    packed = b" ".join(words[begin : begin + n + window - 1])
+                    begin, n, places = item["start"], item["n"], item["places"]
+                    part = words[begin : begin + n + window - 1]
                     if not item["hot"]:
-                        rows = [(0, 0, 0, packed)]
-                    else:
-                        part = words[begin : begin + n + window - 1]
-                        rows = []
-                        for k in range(n):
-                            digest = hashlib.blake2b(b" ".join(part[k : k + window]), digest_size=16).digest()
-                            rows.append((k, *np.frombuffer(digest, np.int64).tolist(), None))
-                    for at, one, two, string in rows:
-                        for name, value in zip(out, (item["mini"], item["piece"], at, item["places"], item["hot"], one, two, string)):
-                            out[name].append(value)
+                        put(item["mini"], item["piece"], places, False, None, None, b" ".join(part), None)
+                        continue
+                    of_piece: dict[bytes, list] = {}
+                    for k in range(n):
+                        digest = hashlib.blake2b(b" ".join(part[k : k + window]), digest_size=16).digest()
+                        of_piece.setdefault(digest, []).append({"at": k, "n": 1})
+                    for digest, runs in of_piece.items():
+                        held = windows.setdefault(digest, [0, []])
+                        held[0] += places * len(runs)
+                        held[1].append({"mini": item["mini"], "piece": item["piece"], "runs": runs})
+            for digest, (places, members) in windows.items():
+                put(None, None, places, True, *np.frombuffer(digest, np.int64).tolist(), None, members)
             yield pa.RecordBatch.from_pydict(out, schema=PACKED)
 
     return run
 
 
+RUN_LIST = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())]))
+MEMBERS = pa.list_(pa.struct([("mini", pa.int64()), ("piece", pa.int64()), ("runs", RUN_LIST)]))
 PACKED = pa.schema(
-    [(k, pa.int64()) for k in ("mini", "piece", "at", "places")]
-    + [("hot", pa.bool_()), ("hash_1", pa.int64()), ("hash_2", pa.int64()), ("packed", pa.binary())]
+    [(k, pa.int64()) for k in ("mini", "piece", "places")]
+    + [("hot", pa.bool_()), ("hash_1", pa.int64()), ("hash_2", pa.int64()), ("packed", pa.binary()), ("members", MEMBERS)]
+)
+PACKED_SQL = (
+    "mini long, piece long, places long, hot boolean, hash_1 long, hash_2 long, packed binary, "
+    "members array<struct<mini:bigint,piece:bigint,runs:array<struct<at:bigint,n:bigint>>>>"
 )
-PACKED_SQL = "mini long, piece long, at long, places long, hot boolean, hash_1 long, hash_2 long, packed binary"
 
 
 def count_windows(packed: list[bytes], places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +130,7 @@ def _count(window: int, least_bytes: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, window: int = 35, gram: int = 4, hot: int = 64, bucket_bytes: int = 4 << 20) -> DataFrame:
+def repeated_runs(docs: DataFrame, window: int = 35, gram: int = 8, hot: int = 1024, bucket_bytes: int = 4 << 20) -> DataFrame:
     """(_id, _text_hash, start, n): runs of windows, by their first word, that also start elsewhere."""
     found = common.saved(buckets.candidates(docs, buckets.word_units, window, gram))
     unique = common.saved(buckets.distinct(found))
@@ -134,12 +144,13 @@ def repeated_runs(docs: DataFrame, window: int = 35, gram: int = 4, hot: int = 6
     packed = common.saved(packed.select("text", "items").mapInArrow(_pack(window), PACKED_SQL))
     cold = packed.where("NOT hot").select("mini", "piece", "places", "packed").repartition("mini").sortWithinPartitions("mini")
     counted = cold.mapInArrow(_count(window, bucket_bytes), "mini long, piece long, at long, n long")
-    windows = packed.where("hot").select("hash_1", "hash_2", "mini", "piece", "at", "places")
+    windows = packed.where("hot").select("hash_1", "hash_2", "places", "members")
     totals = windows.groupBy("hash_1", "hash_2").agg(F.sum("places").alias("total")).where("total > 1")
-    frequent = windows.join(totals, ["hash_1", "hash_2"], "left_semi").select(
-        "mini", "piece", "at", F.lit(1).cast("long").alias("n")
-    )
-    told = counted.unionByName(frequent).groupBy("mini", "piece").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    totals = common.apart(totals, ["hash_1", "hash_2"], "key").select("key", "hash_2")
+    twice = common.apart(windows, ["hash_1", "hash_2"], "key").join(totals, ["key", "hash_2"], "left_semi")
+    frequent = twice.select(F.explode("members").alias("m")).select("m.*")
+    counted = counted.select("mini", "piece", F.array(F.struct("at", "n")).alias("runs"))
+    told = counted.unionByName(frequent).groupBy("mini", "piece").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     told = told.join(copied, ["mini", "piece"], "left_anti").unionByName(copied)
     hits = found.select("mini", "piece", *buckets.PLACE).join(told, ["mini", "piece"])
     run = F.explode("runs").alias("run")
