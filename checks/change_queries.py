@@ -332,6 +332,27 @@ def bulk_load(spark, d):
     return lake.read(ingest.TRIP_FILES_TABLE).select(*schemas.TRIP.names)
 
 
+@query(
+    f"""
+SELECT {TLC_FILE}, CAST(NULL AS FLOAT) AS cbd_congestion_fee FROM trips
+UNION ALL SELECT {TLC_FILE}, CAST(NULL AS FLOAT) AS cbd_congestion_fee FROM trips
+"""
+)
+def bulk_load_same_name(spark, d):
+    """A folder and its copy, so that file names come twice; the second is loaded by a second run."""
+    folder = work_folder(spark, "same-names")
+    rows = v.trips(spark, d).drop("cbd_congestion_fee").withColumnsRenamed(v.TLC_SPELLING)
+    lake = Lake(spark, work_folder(spark, "bulk"))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    rows.write.parquet(f"{folder}/a")
+    ingest.load_files(spark, folder, lake)
+    a, b = hadoop.Path(f"{folder}/a"), hadoop.Path(f"{folder}/b")
+    hadoop.FileUtil.copy(a.getFileSystem(settings), a, b.getFileSystem(settings), b, False, settings)
+    ingest.load_files(spark, folder, lake)
+    return lake.read(ingest.TRIP_FILES_TABLE).select(*schemas.TRIP.names)
+
+
 @query(
     """
 SELECT h AS time, CAST((n * 7) % 45 - 8 AS FLOAT) AS temperature,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from checks import views as v
 from checks.registry import query
 from checks.views import mean, money
+from faretide import schemas
 from faretide.operators import filters
 from faretide.plans import gold, overview, series, zones
-from faretide.schemas import GOLD_HOURLY
+from faretide.schemas import GOLD_HOURLY, TableSpec
 from faretide.sources import files
 from faretide.sources.tables import Lake, work_folder
 
@@ -166,12 +170,57 @@ def tiered_source(spark, d):
     """The gold table was never written here, so the base table answers."""
     lake = Lake(spark, work_folder(spark, "absent"))
 
+    return _tiered(spark, d, lake)
+
+
+def _tiered(spark, d, lake):
     def from_gold():
-        return series.time_series_from_gold(spark.read.parquet(lake.path(GOLD_HOURLY)), "revenue", "hour")
+        return series.time_series_from_gold(lake.read(GOLD_HOURLY, must_exist=True), "revenue", "hour")
 
     return files.tiered(from_gold, lambda: series.time_series(v.trips(spark, d), "revenue", "hour"))
 
 
+@query(
+    f"""
+SELECT strftime(date_trunc('hour', tpep_pickup_datetime), '%Y-%m-%dT%H:%M:%SZ') AS timestamps,
+  {money('total_amount')} AS "values", 'revenue' AS metric_name, 'USD' AS unit, 'hour' AS "interval",
+  'gold' AS data_source
+FROM trips GROUP BY 1
+"""
+)
+def tiered_source_gold(spark, d):
+    """The gold table is there, so it answers."""
+    lake = Lake(spark, work_folder(spark, "present"))
+    lake.replace_partitions(gold.hourly_metrics(v.trips(spark, d), v.zones(spark, d)), GOLD_HOURLY)
+    return _tiered(spark, d, lake)
+
+
+@query(
+    """
+SELECT event_id AS x, CAST(tpep_pickup_datetime AS DATE) AS day, CAST(event_id % 2 AS INT) AS half
+FROM trips WHERE CAST(tpep_pickup_datetime AS DATE) <> DATE '2024-01-03'
+UNION ALL SELECT event_id + 1000000, DATE '2024-01-02', CAST(event_id % 2 AS INT)
+FROM trips WHERE CAST(tpep_pickup_datetime AS DATE) = DATE '2024-01-03'
+"""
+)
+def partition_overwrite_two_level(spark, d):
+    """Days split in two: one day is added to by way of a rewrite, one runs empty; both are in scope."""
+    lake = Lake(spark, work_folder(spark, "two-level"))
+    kinds = schemas.struct(x=T.LongType(), day=T.DateType(), half=T.IntegerType())
+    table = TableSpec("halves", kinds, partitions=("day", "half"))
+    day = F.to_date(filters.PICKUP)
+    rows = v.trips(spark, d, "event_id").select(
+        F.col("event_id").alias("x"), day.alias("day"), (F.col("event_id") % 2).cast("int").alias("half")
+    )
+    lake.replace_partitions(rows, table)
+    moved = rows.where("day = DATE'2024-01-03'").select(
+        (F.col("x") + 1000000).alias("x"), F.lit("2024-01-02").cast("date").alias("day"), "half"
+    )
+    again = rows.where("day = DATE'2024-01-02'").unionByName(moved)
+    lake.replace_partitions(again, table, ["2024-01-02", "2024-01-03"])
+    return lake.read(table)
+
+
 @query(
     f"""
 , changed AS (SELECT * REPLACE (total_amount * 2 AS total_amount) FROM trips

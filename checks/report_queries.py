@@ -90,7 +90,7 @@ def date_range_stats(spark, d):
 @query("SELECT COUNT(*) AS total_trips FROM trips WHERE tpep_pickup_datetime >= DATE '2024-01-21'"
        " - INTERVAL 30 DAY AND tpep_pickup_datetime < DATE '2024-01-22'")
 def date_range_clamped(spark, d):
-    first, last = filters.clamp_range("2023-01-01", "2024-01-21")
+    first, last, _ = filters.clamp_range("2023-01-01", "2024-01-21", 30)
     return filters.window(v.trips(spark, d), first, last).agg(F.count("*").alias("total_trips"))
 
 
@@ -191,12 +191,28 @@ def time_series_week_sunday(spark, d):
     return series.time_series(v.trips(spark, d), "revenue", "week", week_start="sunday")
 
 
-@query(series_sql("trips", "hour", "trip_count", "COUNT(*)", IN_RANGE) + " ORDER BY 1 LIMIT 16 * 24")
+@query(series_sql("trips", "hour", "trip_count", "COUNT(*)", IN_RANGE))
 def time_series_capped(spark, d):
+    """A range of hours, all of which are shown."""
     return series.time_series(v.trips(spark, d), "trip_count", "hour", START, END)
 
 
-@query(series_sql("bench_trips", "day", "revenue", money("total_amount")) + " ORDER BY 1 LIMIT 8760")
+SUNDAY, MONDAY = "2024-01-07", "2024-01-08"
+
+
+@query(series_sql("trips", "week", "trip_count", "COUNT(*)", f"tpep_pickup_datetime >= DATE '{SUNDAY}' AND tpep_pickup_datetime < DATE '{MONDAY}' + INTERVAL 1 DAY"))
+def time_series_week_two_days(spark, d):
+    """Two days of two weeks."""
+    return series.time_series(v.trips(spark, d), "trip_count", "week", SUNDAY, MONDAY)
+
+
+@query(series_sql("bench_trips", "hour", "trip_count", "COUNT(*)"))
+def time_series_long(spark, d):
+    """Seven years of hours."""
+    return series.time_series(v.bench_trips(spark, d), "trip_count", "hour")
+
+
+@query(series_sql("bench_trips", "day", "revenue", money("total_amount")))
 def time_series_bench(spark, d):
     return series.time_series(v.bench_trips(spark, d), "revenue", "day")
 
@@ -213,22 +229,27 @@ WHERE {{}} GROUP BY 1, 2, 3 ORDER BY date DESC, hour DESC
 """
 
 
-@query(IMPACT.format(IN_RANGE) + " LIMIT 500")
+@query(IMPACT.format(IN_RANGE))
 def weather_impact(spark, d):
     return weather_plans.weather_impact(v.trips(spark, d), v.weather(spark, d), START, END)
 
 
-@query(IMPACT.format(f"tpep_pickup_datetime >= TIMESTAMP '{AS_OF}' - INTERVAL 720 HOUR") + " LIMIT 500")
+@query(IMPACT.format(f"tpep_pickup_datetime >= TIMESTAMP '{AS_OF}' - INTERVAL 720 HOUR"))
 def weather_impact_last_hours(spark, d):
     return weather_plans.weather_impact(v.trips(spark, d), v.weather(spark, d), as_of=AS_OF)
 
 
+@query(IMPACT.format("TRUE"))
+def weather_impact_all_hours(spark, d):
+    return weather_plans.weather_impact(v.trips(spark, d), v.weather(spark, d), start="2000-01-01")
+
+
 @query(
     f"""
 SELECT CAST(tpep_pickup_datetime AS DATE) AS date, strftime(tpep_pickup_datetime, '%H:00') AS hour,
   'Unknown' AS weather_condition, CAST(20 AS DOUBLE) AS temperature, CAST(50 AS DOUBLE) AS humidity,
   COUNT(*) AS trips, {rnd(mean('fare_amount'), 2)} AS avg_fare, {rnd(mean('trip_distance'), 2)} AS avg_distance
-FROM trips WHERE {IN_RANGE} GROUP BY 1, 2 ORDER BY date DESC, hour DESC LIMIT 500
+FROM trips WHERE {IN_RANGE} GROUP BY 1, 2 ORDER BY date DESC, hour DESC
 """
 )
 def weather_impact_no_weather(spark, d):
@@ -272,16 +293,16 @@ def recent_trips(spark, d):
 def _exported(spark, d, fmt):
     path = work_folder(spark, f"export-{fmt}")
     source = v.trips(spark, d)
-    trips.export_trips(source, path, fmt, as_of=AS_OF)
+    trips.export_trips(source, path, fmt, hours_back=24, as_of=AS_OF)
     return files.read_export(spark, path, fmt, trips.recent_trips(source, as_of=AS_OF).schema)
 
 
-@query(RECENT.format(SINCE.format(AS_OF, 24)) + " LIMIT 1000")
+@query(RECENT.format(SINCE.format(AS_OF, 24)))
 def export_trips(spark, d):
     return _exported(spark, d, "csv")
 
 
-@query(RECENT.format(SINCE.format(AS_OF, 24)) + " LIMIT 1000")
+@query(RECENT.format(SINCE.format(AS_OF, 24)))
 def export_trips_json(spark, d):
     return _exported(spark, d, "json")
 
@@ -333,7 +354,7 @@ ORDER BY historical_avg DESC, pulocationid LIMIT 20
 """
 )
 def demand_forecast(spark, d):
-    forecast = activity.demand_forecast(v.trips(spark, d), v.zones(spark, d), AS_OF)
+    forecast = activity.demand_forecast(v.trips(spark, d), v.zones(spark, d), AS_OF, k=20)
     # The two random columns have no counterpart in SQL.
     return forecast.drop("confidence_score", "weather_impact_factor")
 
@@ -344,13 +365,12 @@ SELECT pulocationid AS zone_id, {NAME} AS zone_name, TIMESTAMP '{AS_OF}' AS time
   {money('total_amount')} AS revenue_last_hour, {rnd(mean('trip_distance') + ' / 2', 1)} AS avg_wait_time
 FROM trips LEFT JOIN zones ON pulocationid = LocationID
 WHERE tpep_pickup_datetime >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR GROUP BY pulocationid, Zone
-ORDER BY pickup_count DESC, pulocationid LIMIT 20
 """
 
 
-@query(ACTIVITY)
+@query(ACTIVITY + " ORDER BY pickup_count DESC, pulocationid LIMIT 20")
 def realtime_activity(spark, d):
-    return activity.realtime_activity(v.trips(spark, d), v.zones(spark, d), AS_OF)
+    return activity.realtime_activity(v.trips(spark, d), v.zones(spark, d), AS_OF, k=20)
 
 
 @query(

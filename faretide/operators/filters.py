@@ -12,7 +12,6 @@ from faretide.functions import clock, labels
 from faretide.operators import merge
 
 PICKUP = "tpep_pickup_datetime"
-MAX_RANGE_DAYS = 30
 
 Day = date | datetime | str | None
 
@@ -62,19 +61,31 @@ def window(
 ) -> DataFrame:
     """Rows of a date range, or of the last hours; ``hours_back`` overrides the dates.
 
-    A table stored by ``row_date`` gets the same bounds on that column, which prunes directories.
+    A table stored by ``row_date`` or ``row_month`` gets the same bounds on that column, which prunes directories.
     """
-    by_day = "row_date" in df.columns and column == PICKUP
     if hours_back:
-        df = df.filter(last_hours(column, hours_back, as_of))
-        if by_day:
-            df = df.filter(F.col("row_date") >= F.to_date(clock.back(clock.moment(as_of), hours=hours_back)))
-        return df
+        first = clock.back(clock.moment(as_of), hours=hours_back)
+        return prune(df.filter(last_hours(column, hours_back, as_of)), column, F.to_date(first), None)
     if start in (None, "") and end in (None, ""):
         return df
-    df = df.filter(date_range(column, start, end))
-    if by_day:
-        df = df.filter(days("row_date", start, end))
+    bounds = [F.lit(as_day(x)) if as_day(x) else None for x in (start, end)]
+    return prune(df.filter(date_range(column, start, end)), column, *bounds)
+
+
+#: Event times by which stored tables are split.
+SPLIT_TIMES = (PICKUP, "time")
+
+
+def prune(df: DataFrame, column: str, first: Column | None, last: Column | None) -> DataFrame:
+    """Day bounds of an event time as bounds on the partition column of its table, if it has one."""
+    if column not in SPLIT_TIMES:
+        return df
+    for partition, key in (("row_date", lambda day: day), ("row_month", clock.month_key)):
+        if partition in df.columns:
+            if first is not None:
+                df = df.filter(F.col(partition) >= key(first))
+            if last is not None:
+                df = df.filter(F.col(partition) <= key(last))
     return df
 
 
@@ -88,12 +99,12 @@ def days(column: str, start: Day = None, end: Day = None) -> Column:
     return kept
 
 
-def clamp_range(start: Day, end: Day, max_days: int = MAX_RANGE_DAYS) -> tuple[date | None, date | None]:
-    """The range, cut to its last ``max_days`` days where it is longer."""
+def clamp_range(start: Day, end: Day, max_days: int) -> tuple[date | None, date | None, bool]:
+    """The range, its last ``max_days`` days where it is longer, and whether it was narrowed."""
     first, last = as_day(start), as_day(end)
     if first and last and (last - first).days > max_days:
-        first = last - timedelta(days=max_days)
-    return first, last
+        return last - timedelta(days=max_days), last, True
+    return first, last, False
 
 
 def hourly_weather(weather: DataFrame) -> DataFrame:

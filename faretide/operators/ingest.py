@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -34,12 +35,35 @@ def file_profile(spark: SparkSession, paths: str | Sequence[str], column: str =
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Path and name of every parquet file, from the directory listing alone."""
-    found = spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).inputFiles()
-    rows = [(path, path.rsplit("/", 1)[-1]) for path in found]
+    """Path and name of every parquet file, from the directory listing alone.
+
+    The name is the path below the folder asked for (up to its first wildcard), so files of one name in different
+    folders stay apart, in this run and in later ones.
+    """
+    asked = [paths] if isinstance(paths, str) else list(paths)
+    found = spark.read.option("recursiveFileLookup", True).parquet(*asked).inputFiles()
+    roots = sorted((_root(spark, path) for path in asked), key=len, reverse=True)
+    rows = []
+    for path in found:
+        plain = _plain(spark, path)
+        root = next((r for r in roots if plain.startswith(r)), plain.rpartition("/")[0] + "/")
+        rows.append((path, plain[len(root) :]))
     return spark.createDataFrame(rows, "file_path string, file_name string")
 
 
+def _plain(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+
+
+def _root(spark: SparkSession, asked: str) -> str:
+    """The folder that a path or pattern starts from, with a slash behind it."""
+    fixed = re.split(r"[*?\[{]", asked, maxsplit=1)[0]
+    if fixed != asked or fixed.endswith(".parquet"):
+        fixed = fixed.rpartition("/")[0]
+    return _plain(spark, fixed).rstrip("/") + "/"
+
+
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger does not list."""
     return files.join(ledger.select("file_name"), "file_name", "left_anti").select(*files.columns)

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 METRICS = ("trip_count", "revenue", "avg_fare")
 INTERVALS = ("hour", "day", "week")
-MODES = ("realtime", "historical")
 FORMATS = ("json", "csv")
 
 RECENT_LIMIT = (1, 1000)
 RECENT_HOURS = (1, 720)
-ZONE_LIMIT = (1, 500)
+ZONE_LIMIT = (1, None)
 WEATHER_HOURS = (1, 8760)
 
 
@@ -19,10 +18,12 @@ def one_of(name: str, value: str, allowed: tuple[str, ...]) -> str:
     return value
 
 
-def between(name: str, value: int | None, bounds: tuple[int, int]) -> int | None:
+def between(name: str, value: int | None, bounds: tuple[int, int | None]) -> int | None:
+    """``value``, if it is None or within the bounds; None for no upper bound."""
     low, high = bounds
-    if value is not None and not low <= value <= high:
-        raise ValueError(f"{name} must be between {low} and {high}, not {value!r}")
+    if value is not None and (value < low or (high is not None and value > high)):
+        upper = "up" if high is None else f"to {high}"
+        raise ValueError(f"{name} must be from {low} {upper}, not {value!r}")
     return value
 
 

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from faretide.functions import clock, labels, measures
 from faretide.operators import filters
 
-ZONES_SHOWN = 20
 FORECAST_DAYS = 7
 
 
-def _busiest(per_zone: DataFrame, zones: DataFrame, count: str, k: int) -> DataFrame:
-    head = per_zone.orderBy(F.desc(count), "pulocationid").limit(k)
+def _busiest(per_zone: DataFrame, zones: DataFrame, count: str, k: int | None) -> DataFrame:
+    """The k busiest zones, or all of them, with their names."""
+    head = per_zone if k is None else per_zone.orderBy(F.desc(count), "pulocationid").limit(k)
     named = head.join(zones.select("LocationID", "Zone"), F.col("pulocationid") == F.col("LocationID"), "left")
     return named.withColumn("zone_name", labels.zone_label(F.col("pulocationid"), F.col("Zone"))).orderBy(
         F.desc(count), "pulocationid"
@@ -21,15 +21,15 @@ def _busiest(per_zone: DataFrame, zones: DataFrame, count: str, k: int) -> DataF
 
 
 def demand_forecast(
-    trips: DataFrame, zones: DataFrame, as_of=None, seed: int = 0, k: int = ZONES_SHOWN
+    trips: DataFrame, zones: DataFrame, as_of=None, seed: int = 0, k: int | None = None
 ) -> DataFrame:
-    """The k zones with most trips in the last week, with a tenth added.
+    """Trips per zone in the last week with a tenth added, busiest first; all zones, or the first k.
 
     ``confidence_score`` and ``weather_impact_factor`` are random placeholders, as in the service
     this report stands for; ``seed`` fixes them.
     """
     now = clock.moment(as_of)
-    recent = trips.filter(F.col(filters.PICKUP) >= clock.back(now, days=FORECAST_DAYS))
+    recent = filters.window(trips, hours_back=24 * FORECAST_DAYS, as_of=as_of)
     per_zone = recent.groupBy("pulocationid").agg(F.count("*").alias("historical_avg"))
     ahead = now + F.make_dt_interval(F.lit(0), F.lit(1))
     grown = F.round(F.col("historical_avg").cast("decimal(20,0)") * F.expr("1.1BD"), 0).cast("double")
@@ -49,12 +49,12 @@ def forecast_confidence(forecast: DataFrame) -> DataFrame:
 
 
 def realtime_activity(
-    trips: DataFrame, zones: DataFrame, as_of=None, hours: int = 1, k: int = ZONES_SHOWN
+    trips: DataFrame, zones: DataFrame, as_of=None, hours: int = 1, k: int | None = None
 ) -> DataFrame:
-    """The k busiest zones of the last hour. Half the mean distance stands in for a waiting time."""
+    """The zones of the last hour, busiest first; all, or the first k. Half the mean distance stands in for a waiting time."""
     now = clock.moment(as_of)
     per_zone = (
-        trips.filter(filters.last_hours(filters.PICKUP, hours, as_of))
+        filters.window(trips, hours_back=hours, as_of=as_of)
         .groupBy("pulocationid")
         .agg(
             F.count("*").alias("pickup_count"),
@@ -74,7 +74,7 @@ def realtime_activity(
 
 
 def activity_totals(activity: DataFrame) -> DataFrame:
-    """One row over the activity report."""
+    """One row over the activity report; for totals of all zones, that report must hold them all (no ``k``)."""
     return activity.agg(
         F.count("*").alias("active_zones"),
         F.coalesce(F.sum("pickup_count"), F.lit(0)).alias("total_pickups"),

@@ -8,18 +8,6 @@ from pyspark.sql import functions as F
 from faretide.functions import clock, labels, measures
 from faretide.operators import filters, params
 
-# Most points a series may have: a year of hours.
-MAX_POINTS = 8760
-
-
-def series_cap(interval: str, start=None, end=None) -> int:
-    """Most points of a series over a date range."""
-    first, last = filters.as_day(start), filters.as_day(end)
-    if first is None or last is None:
-        return MAX_POINTS
-    days = (last - first).days + 1
-    return max(0, {"hour": min(days * 24, 8760), "day": min(days, 365), "week": min(days // 7 + 1, 52)}[interval])
-
 
 def _points(grouped, value: Column, metric: str, interval: str) -> DataFrame:
     points = grouped.agg(value.cast("double").alias("values"))
@@ -55,8 +43,7 @@ def time_series(
         "revenue": measures.exact_sum(F.col("total_amount")),
         "avg_fare": measures.exact_mean(F.col("fare_amount")),
     }[metric]
-    cap = MAX_POINTS if hours_back else series_cap(interval, start, end)
-    return _points(kept.groupBy(*[k.alias(n) for n, k in keys.items()]), value, metric, interval).limit(cap)
+    return _points(kept.groupBy(*[k.alias(n) for n, k in keys.items()]), value, metric, interval)
 
 
 def time_series_from_gold(
@@ -67,7 +54,7 @@ def time_series_from_gold(
     end=None,
     week_start: str = "monday",
 ) -> DataFrame:
-    """The same from the hourly gold table, with the mean fare weighted by trips. No cap on points."""
+    """The same from the hourly gold table, with the mean fare weighted by trips."""
     params.one_of("metric", metric, params.METRICS)
     params.one_of("interval", interval, params.INTERVALS)
     params.one_of("week_start", week_start, clock.WEEK_STARTS)

@@ -21,7 +21,6 @@ RECENT_COLUMNS = {
     "tip_amount": "tip_amount",
     "total_amount": "total_amount",
 }
-EXPORT_LIMIT = 1000
 
 
 def _newest() -> list[Column]:
@@ -37,10 +36,23 @@ def recent_trips(trips: DataFrame, limit: int = 50, hours_back: int = 24, as_of=
     return shown.orderBy(*_newest()).limit(limit)
 
 
-def export_trips(trips: DataFrame, path: str, fmt: str = "json", limit: int = EXPORT_LIMIT, as_of=None) -> None:
-    """Write the newest trips of the last day to ``path``."""
+def export_trips(
+    trips: DataFrame,
+    path: str,
+    fmt: str = "json",
+    start=None,
+    end=None,
+    hours_back: int | None = None,
+    limit: int | None = None,
+    as_of=None,
+) -> None:
+    """Write the trips of a date range or of the last hours to ``path``: all, or the ``limit`` newest."""
     params.one_of("format", fmt, params.FORMATS)
-    files.export(recent_trips(trips, limit=limit, as_of=as_of), path, fmt)
+    if limit is not None and limit < 1:
+        raise ValueError(f"limit must be 1 or more, not {limit!r}")
+    kept = filters.window(trips, start, end, hours_back, as_of)
+    shown = kept.select(*[F.col(c).alias(n) for c, n in RECENT_COLUMNS.items()])
+    files.export(shown if limit is None else shown.orderBy(*_newest()).limit(limit), path, fmt)
 
 
 def paginate(df: DataFrame, page: int, page_size: int, order_by: list[str | Column]) -> DataFrame:

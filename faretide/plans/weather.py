@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from faretide.functions import clock, labels, measures
 from faretide.operators import filters, params
 
-MAX_HOURS_SHOWN = 500
-
 
 def weather_impact(
     trips: DataFrame,
@@ -17,12 +15,12 @@ def weather_impact(
     start=None,
     end=None,
     hours_back: int = 720,
-    limit: int | None = MAX_HOURS_SHOWN,
+    limit: int | None = None,
     as_of=None,
 ) -> DataFrame:
     """Trips, mean fare and mean distance per hour with that hour's weather, newest first.
 
-    ``hours_back`` counts only where no date is given. Trips are reduced to hours before the join,
+    ``hours_back`` counts only where no date is given; all hours are shown unless ``limit`` says how many. Trips are reduced to hours before the join,
     so what is joined has one row per hour on both sides. Without a weather table the conditions
     are unknown and fixed values stand in for them.
     """

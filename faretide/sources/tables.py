@@ -7,6 +7,7 @@ that dies half way is put right by the next one.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Sequence
@@ -27,13 +28,18 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests on one machine) a local temporary folder is used.
+    Where the session names none, local mode gets a folder of this machine, which its one process sees; elsewhere
+    every node would write to its own disk, so that is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        shared = tempfile.mkdtemp(prefix="faretide-")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='faretide-')}")
+        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -49,13 +55,17 @@ class Lake:
 
     # -- reading -------------------------------------------------------------------------------
 
-    def read(self, table: TableSpec, values: Iterable[object] | None = None) -> DataFrame:
-        """The table; empty when nothing was written yet. No footers are read for the schema.
+    def read(self, table: TableSpec, values: Iterable[object] | None = None, must_exist: bool = False) -> DataFrame:
+        """The table. No footers are read for the schema.
+
+        When nothing was written yet it is empty, or with ``must_exist`` an AnalysisException, as for any missing path.
 
         With ``values`` of the first partition column only those directories are listed and read,
         however many others there are.
         """
         paths = [self.path(table)] if self.exists(table) else []
+        if must_exist and not paths:
+            return self.spark.read.schema(table.schema).parquet(self.path(table))
         if values is not None:
             _, folders = self._partition_folders(table)
             paths = [folders[v].toString() for v in map(_directory_value, values) if v in folders]
@@ -111,7 +121,8 @@ class Lake:
         """Replace the partitions ``df`` has rows for, and drop those of ``scope`` it has none for.
 
         ``scope`` holds values of the first partition column (days, boroughs). A directory of the
-        scope that still holds the files it had before the write got no rows.
+        scope that still holds just the files it had before the write, at any depth, got no rows. Readers may see
+        partitions missing between the write and the drop; a repeated call puts an interrupted one right.
         """
         scope = [_directory_value(v) for v in scope]
         before = self._files(table, scope)
@@ -121,9 +132,14 @@ class Lake:
 
     def _files(self, table: TableSpec, values: Sequence[str]) -> dict[str, set[str]]:
         fs, folders = self._partition_folders(table)
-        return {
-            v: {status.getPath().getName() for status in fs.listStatus(folders[v])} for v in values if v in folders
-        }
+        found = {}
+        for v in values:
+            if v in folders:
+                names, listed = set(), fs.listFiles(folders[v], True)
+                while listed.hasNext():
+                    names.add(listed.next().getPath().toString())
+                found[v] = names
+        return found
 
     def drop_partitions(self, table: TableSpec, values: Iterable[object]) -> None:
         fs, folders = self._partition_folders(table)
@@ -190,9 +206,7 @@ def read_first(readers: Sequence[Callable[[], DataFrame]]) -> DataFrame:
 def apply_retention(df: DataFrame, column: str, days: int = 365, as_of=None) -> DataFrame:
     """Rows not older than ``days`` days."""
     kept = df.filter(F.col(column) >= clock.back(clock.moment(as_of), days=days))
-    if "row_date" in df.columns and column == filters.PICKUP:
-        kept = kept.filter(F.col("row_date") >= F.to_date(clock.back(clock.moment(as_of), days=days)))
-    return kept
+    return filters.prune(kept, column, F.to_date(clock.back(clock.moment(as_of), days=days)), None)
 
 
 def expire(lake: Lake, table: TableSpec, days: int, as_of: datetime) -> list[str]:

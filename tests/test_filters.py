@@ -1,7 +1,9 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
+from faretide.functions import clock
 from faretide.operators import filters, params
 from faretide.plans import activity, overview, series, trips as trip_plans, zones as zone_plans
 from tests.helpers import trips, weather, zones
@@ -44,16 +46,31 @@ def test_filters_reach_the_scan(spark, tmp_path):
 
 
 def test_clamp():
-    assert filters.clamp_range("2024-01-01", "2024-03-31") == (date(2024, 3, 1), date(2024, 3, 31))
-    assert filters.clamp_range("2024-03-30", "2024-03-31") == (date(2024, 3, 30), date(2024, 3, 31))
-    assert filters.clamp_range(None, "2024-03-31") == (None, date(2024, 3, 31))
+    assert filters.clamp_range("2024-01-01", "2024-03-31", 30) == (date(2024, 3, 1), date(2024, 3, 31), True)
+    assert filters.clamp_range("2024-03-30", "2024-03-31", 30) == (date(2024, 3, 30), date(2024, 3, 31), False)
+    assert filters.clamp_range(None, "2024-03-31", 30) == (None, date(2024, 3, 31), False)
 
 
-def test_series_cap():
-    assert series.series_cap("hour", "2024-01-01", "2024-01-02") == 48
-    assert series.series_cap("day", "2024-01-01", "2025-12-31") == 365
-    assert series.series_cap("week", "2024-01-01", "2024-01-14") == 3
-    assert series.series_cap("hour") == 8760
+def test_series_shows_every_week_it_touches(spark):
+    t = trips(spark, {"pickup": "2024-01-07 10:00:00"}, {"pickup": "2024-01-08 10:00:00"})
+    rows = series.time_series(t, "trip_count", "week", "2024-01-07", "2024-01-08").collect()
+    assert [r["values"] for r in rows] == [1.0, 1.0]
+
+
+def test_month_tables_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "months")
+    rows = trips(spark, {"pickup": "2024-01-07 10:00:00"}, {"pickup": "2024-03-08 10:00:00"}).drop("row_date")
+    rows.withColumn("row_month", clock.month_key(F.col(filters.PICKUP))).write.partitionBy("row_month").parquet(path)
+    stored = spark.read.schema(rows.schema.add("row_month", "string")).parquet(path)
+    for kept in (
+        filters.window(stored, "2024-03-01", "2024-03-31"),
+        filters.window(stored, hours_back=24, as_of="2024-03-08 12:00:00"),
+        activity.realtime_activity(stored, zones(spark), "2024-03-08 10:30:00"),
+        activity.demand_forecast(stored, zones(spark), "2024-03-08 10:30:00"),
+    ):
+        text = kept._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(row_month" in text
+        assert kept.count() == 1
 
 
 @pytest.mark.parametrize(
@@ -63,11 +80,10 @@ def test_series_cap():
         lambda t, z: series.time_series(t, "revenue", "month"),
         lambda t, z: trip_plans.recent_trips(t, limit=1001),
         lambda t, z: trip_plans.recent_trips(t, hours_back=0),
-        lambda t, z: zone_plans.zone_performance(t, z, limit=501),
+        lambda t, z: zone_plans.zone_performance(t, z, limit=0),
         lambda t, z: trip_plans.export_trips(t, "/tmp/unused", "xml"),
         lambda t, z: trip_plans.paginate(t, 0, 10, ["vendorid"]),
         lambda t, z: overview.stats_with_delta(t, "2024-01-02", "2024-01-01"),
-        lambda t, z: params.one_of("mode", "live", params.MODES),
     ],
 )
 def test_bad_parameters(spark, call):
