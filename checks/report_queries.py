@@ -368,6 +368,22 @@ WHERE tpep_pickup_datetime >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR GROUP BY pul
 """
 
 
+FINE = "trip_distance / 3 + event_id / CAST(100000 AS DOUBLE)"
+
+
+@query(
+    f"""
+SELECT pulocationid, CAST(ROUND(CAST(SUM(CAST(ROUND(({FINE}) * 1000000, 0) AS DECIMAL(28,0))) AS DECIMAL(28,0)) / 1000000, 6) AS DOUBLE) AS distance
+FROM trips GROUP BY pulocationid
+"""
+)
+def fine_sums(spark, d):
+    """Values with five decimals and more, summed unrounded to hundredths."""
+    fine = F.expr(FINE.replace("DOUBLE", "double"))
+    rows = v.trips(spark, d, "event_id").groupBy("pulocationid")
+    return rows.agg(measures.exact_sum(fine, measures.FINE).alias("distance"))
+
+
 @query(ACTIVITY + " ORDER BY pickup_count DESC, pulocationid LIMIT 20")
 def realtime_activity(spark, d):
     return activity.realtime_activity(v.trips(spark, d), v.zones(spark, d), AS_OF, k=20)

@@ -1,8 +1,8 @@
-"""Money, distance and other two-decimal measures.
+"""Money, distance and other measures with a fixed number of decimals.
 
 Measures arrive as FLOAT or DOUBLE. Adding doubles gives a result that depends on the order of
-the rows, so a retried task could change a report. Every sum here runs over whole hundredths held
-in a BIGINT: exact, independent of order, as fast as a double sum (it stays in generated code),
+the rows, so a retried task could change a report. Every sum here runs over whole units of a measure's
+last decimal (``MONEY``: hundredths; ``FINE``: millionths) held in a BIGINT: exact, independent of order, as fast as a double sum (it stays in generated code),
 and partial sums of it can be added again without loss. An overflow is an error under ANSI mode,
 never a silent wrap. NaN and the infinities count as missing values.
 """
@@ -14,27 +14,33 @@ from pyspark.sql import functions as F
 
 INFINITY = float("inf")
 
+#: Decimals: of money, and of distances, ratios and sums of them. Totals of the latter stay exact up to 9 * 10**9 in
+#: doubles, and up to 9 * 10**12 in the BIGINT.
+MONEY = 2
+FINE = 6
+
 
 def finite(value: Column) -> Column:
     """NULL in place of NaN and the infinities (NaN compares above infinity in Spark)."""
     return F.when(F.abs(value) < F.lit(INFINITY), value)
 
 
-def hundredths(value: Column) -> Column:
-    return F.rint(finite(value).cast("double") * 100).cast("bigint")
+def units(value: Column, decimals: int) -> Column:
+    return F.rint(finite(value).cast("double") * 10**decimals).cast("bigint")
 
 
-def exact_sum(value: Column) -> Column:
-    return F.sum(hundredths(value)) / F.lit(100.0)
+def exact_sum(value: Column, decimals: int = MONEY) -> Column:
+    """The sum of the values, each rounded to ``decimals``."""
+    return F.sum(units(value, decimals)) / F.lit(10.0**decimals)
 
 
 def value_count(value: Column) -> Column:
     """How many values take part in :func:`exact_sum`."""
-    return F.count(hundredths(value))
+    return F.count(finite(value))
 
 
-def exact_mean(value: Column) -> Column:
-    return ratio(exact_sum(value), value_count(value))
+def exact_mean(value: Column, decimals: int = MONEY) -> Column:
+    return ratio(exact_sum(value, decimals), value_count(value))
 
 
 def ratio(total: Column, count: Column) -> Column:

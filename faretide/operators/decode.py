@@ -7,7 +7,6 @@ are case-sensitive), and a bad number spoils only its own column.
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -162,21 +161,26 @@ def decode_deletes(raw: DataFrame, spec: ChangeSpec) -> DataFrame:
 
 
 def infer_payload_schema(raw: DataFrame, long_keys: tuple[str, ...] = ("time",)) -> T.StructType:
-    """Envelope type guessed from the first record that has an ``after`` side (one row is fetched)."""
+    """Envelope type that fits the ``after`` side of all records; columns in the order of their names.
+
+    One aggregate merges the records' types; only the merged type comes to the driver. A column that is missing in all
+    records has no place in it, one that is null in all or differs in kind is text.
+    """
     after = F.get_json_object("value", "$.after")
-    first = raw.select(after.alias("after")).filter(F.col("after").startswith("{")).first()
-    sample = json.loads(first["after"]) if first else {}
+    merged = raw.where(after.startswith("{")).agg(F.schema_of_variant_agg(F.try_parse_json(after)).alias("kind")).first()["kind"]
+    kinds = []
+    if merged and merged.startswith("OBJECT<"):
+        kinds = raw.sparkSession.createDataFrame([], f"after {merged.replace('OBJECT<', 'STRUCT<')}").schema["after"].dataType.fields
     fields = []
-    for name, value in sample.items():
-        if name in long_keys:
-            kind: T.DataType = schemas.LONG
-        elif isinstance(value, float):
+    for field in kinds:
+        kind: T.DataType = schemas.STRING
+        if field.name in long_keys:
+            kind = schemas.LONG
+        elif isinstance(field.dataType, (T.FractionalType, T.DecimalType)):
             kind = schemas.FLOAT
-        elif isinstance(value, int):  # JSON true and false too
+        elif isinstance(field.dataType, (T.IntegralType, T.BooleanType)):
             kind = schemas.INT
-        else:
-            kind = schemas.STRING
-        fields.append(T.StructField(name, kind))
+        fields.append(T.StructField(field.name, kind))
     payload = T.StructType(fields) if fields else schemas.WEATHER
     if not fields:
         payload = T.StructType(

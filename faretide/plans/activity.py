@@ -59,7 +59,7 @@ def realtime_activity(
         .agg(
             F.count("*").alias("pickup_count"),
             measures.exact_sum(F.col("total_amount")).alias("revenue_last_hour"),
-            measures.rounded(measures.exact_mean(F.col("trip_distance")) / F.lit(2.0), 1).alias("avg_wait_time"),
+            measures.rounded(measures.exact_mean(F.col("trip_distance"), measures.FINE) / F.lit(2.0), 1).alias("avg_wait_time"),
         )
     )
     return _busiest(per_zone, zones, "pickup_count", k).select(
@@ -79,5 +79,5 @@ def activity_totals(activity: DataFrame) -> DataFrame:
         F.count("*").alias("active_zones"),
         F.coalesce(F.sum("pickup_count"), F.lit(0)).alias("total_pickups"),
         F.coalesce(measures.exact_sum(F.col("revenue_last_hour")), F.lit(0.0)).alias("revenue"),
-        measures.exact_mean(F.col("activity_score")).alias("avg_activity"),
+        measures.exact_mean(F.col("activity_score"), measures.FINE).alias("avg_activity"),
     )

@@ -101,8 +101,12 @@ def test_inferred_schema(spark):
     rows = raw(spark, None, record("d", before={"time": 1}), record("c", after=after))
     inferred = decode.infer_payload_schema(rows)
     assert inferred["after"].dataType.simpleString() == (
-        "struct<time:bigint,temperature:float,humidity:int,station:string>"
+        "struct<humidity:int,station:string,temperature:float,time:bigint>"
     )
     assert inferred["before"].dataType.simpleString() == "struct<time:bigint>"
+    later = raw(spark, record("c", after={"time": 1, "x": None, "y": "a"}), record("c", after={"time": 2, "x": 3, "y": 1, "z": 2.5}))
+    assert decode.infer_payload_schema(later)["after"].dataType.simpleString() == (
+        "struct<time:bigint,x:int,y:string,z:float>"
+    )
     fallback = decode.infer_payload_schema(raw(spark, None))
     assert fallback["after"].dataType.names == schemas.WEATHER.names

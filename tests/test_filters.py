@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from faretide.functions import clock
+from faretide.functions import clock, measures
 from faretide.operators import filters, params
 from faretide.plans import activity, overview, series, trips as trip_plans, zones as zone_plans
 from tests.helpers import trips, weather, zones
@@ -57,6 +57,12 @@ def test_series_shows_every_week_it_touches(spark):
     assert [r["values"] for r in rows] == [1.0, 1.0]
 
 
+def test_small_values_are_not_rounded_away(spark):
+    rows = spark.range(1000).select(F.lit(0.004).alias("x"))
+    got = rows.agg(measures.exact_sum(F.col("x"), measures.FINE).alias("fine"), measures.value_count(F.col("x")).alias("n")).first()
+    assert tuple(got) == (4.0, 1000)
+
+
 def test_month_tables_are_pruned(spark, tmp_path):
     path = str(tmp_path / "months")
     rows = trips(spark, {"pickup": "2024-01-07 10:00:00"}, {"pickup": "2024-03-08 10:00:00"}).drop("row_date")
