@@ -86,7 +86,7 @@ def candidates(docs: DataFrame, units, window: int, gram: int, longest: int = 40
     counts = rows.select("text").mapInArrow(_cut(units, window, gram, longest, block, True), "mini long, weight long")
     repeated = counts.groupBy("mini").agg(F.sum("weight").alias("weight")).where("weight > 1").select("mini")
     schema = "mini long, piece long, _id long, _text_hash long, start long, n long, loops boolean"
-    return rows.mapInArrow(_cut(units, window, gram, longest, block, False), schema).join(repeated, "mini", "left_semi")
+    return common.in_both(rows.mapInArrow(_cut(units, window, gram, longest, block, False), schema), repeated, "mini")
 
 
 def distinct(found: DataFrame) -> DataFrame:

@@ -76,6 +76,12 @@ def apart(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.withColumn(name, F.col(keys[0]).bitwiseXOR(F.col(keys[1])))
 
 
+def in_both(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose integer ``key`` is among ``keys``, with a shuffle of its own on either side, as in ``apart``."""
+    salted = F.xxhash64(key).alias("_salted")
+    return df.withColumn("_salted", salted).join(keys.select(key, salted), ["_salted", key], "left_semi").drop("_salted")
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers on this machine import the package also where it is neither installed nor on their path.
 

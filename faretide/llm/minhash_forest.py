@@ -168,7 +168,7 @@ class Forest:
         order = _orders(trees, depth, levels)
         rows = self.classes.select(*KEY, "n_shingles", "signature").mapInArrow(order, f"_id long, _text_hash long, n_shingles long, {keys}")
         shared = rows.groupBy("key_0").count().where("count > 1").select("key_0")
-        self.rows = common.saved(rows.join(shared, "key_0", "left_semi"))
+        self.rows = common.saved(common.in_both(rows, shared, "key_0"))
 
     def candidates(self) -> DataFrame:
         """(a_id, a_hash, b_id, b_hash, trees): proposed pairs and how often they were proposed."""
