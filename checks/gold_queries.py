@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +14,7 @@ from faretide import schemas
 from faretide.operators import filters
 from faretide.plans import gold, overview, series, zones
 from faretide.schemas import GOLD_HOURLY, TableSpec
-from faretide.sources import files
+from faretide.sources import files, tables
 from faretide.sources.tables import Lake, work_folder
 
 HOURLY = f"""
@@ -242,3 +244,64 @@ def partition_overwrite(spark, d):
     days = [r[0] for r in spark.sql(f"SELECT explode(sequence(DATE '{START}', DATE '{END}'))").collect()]
     lake.replace_partitions(gold.hourly_metrics(again, z), GOLD_HOURLY, days)
     return gold.report_columns(lake.read(GOLD_HOURLY)).drop("processed_time")
+
+
+STORED = TableSpec("stored", schemas.struct(x=T.LongType(), day=T.DateType(), total=T.DoubleType()), partitions=("day",))
+
+
+def _stored(spark, d, purpose):
+    lake = Lake(spark, work_folder(spark, purpose))
+    rows = v.trips(spark, d, "event_id").select(
+        F.col("event_id").alias("x"), F.to_date(filters.PICKUP).alias("day"), F.col("total_amount").cast("double").alias("total")
+    )
+    lake.replace_partitions(rows, STORED)
+    return lake, rows
+
+
+@query(
+    """
+SELECT event_id AS x, CAST(tpep_pickup_datetime AS DATE) AS day,
+  CASE WHEN event_id % 10 = 0 AND day(tpep_pickup_datetime) <= 9 THEN -1 ELSE total_amount END AS total FROM trips
+UNION ALL SELECT event_id + 1000000, CAST(tpep_pickup_datetime AS DATE), 0 FROM trips
+WHERE event_id % 100 = 0 AND day(tpep_pickup_datetime) <= 9
+"""
+)
+def stored_upsert(spark, d):
+    """Rows of nine days put in place of stored ones, of which some come twice, and new ones."""
+    lake, rows = _stored(spark, d, "upsert")
+    some = rows.where("x % 10 = 0 AND day(day) <= 9")
+    twice = some.withColumn("total", F.lit(-2.0)).unionByName(some.withColumn("total", F.lit(-1.0)))
+    new = some.where("x % 100 = 0").select((F.col("x") + 1000000).alias("x"), "day", F.lit(0.0).alias("total"))
+    lake.merge(STORED, twice.unionByName(new), ["x"], ["total"])
+    return lake.read(STORED)
+
+
+@query(
+    """
+SELECT event_id AS x, CAST(tpep_pickup_datetime AS DATE) AS day, total_amount AS total FROM trips
+WHERE NOT (event_id % 3 = 0 AND day(tpep_pickup_datetime) <= 9) AND CAST(tpep_pickup_datetime AS DATE) <> DATE '2024-01-05'
+"""
+)
+def stored_delete(spark, d):
+    """Keys of nine days removed, one day wholly."""
+    lake, rows = _stored(spark, d, "delete")
+    gone = rows.where("x % 3 = 0 AND day(day) <= 9 OR day = DATE'2024-01-05'").select("x", "day")
+    lake.merge(STORED, rows.limit(0), ["x"], deletes=gone)
+    return lake.read(STORED)
+
+
+@query(
+    """
+SELECT event_id AS x, CAST(tpep_pickup_datetime AS DATE) AS day, total_amount AS total FROM trips
+WHERE CAST(tpep_pickup_datetime AS DATE) >= DATE '2024-01-20'
+"""
+)
+def retention_stored(spark, d):
+    """A table and its log without the days that are too old."""
+    lake, rows = _stored(spark, d, "retention")
+    log = TableSpec("stored_log", STORED.schema, STORED.partitions)
+    lake.replace_partitions(rows, log)
+    tables.expire(lake, STORED, 10, datetime(2024, 1, 30), (log,))
+    return lake.read(STORED).join(lake.read(log).select("x"), "x", "left_semi").unionByName(
+        lake.read(log).join(lake.read(STORED).select("x"), "x", "left_anti")
+    )

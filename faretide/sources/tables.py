@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faretide.functions import clock
-from faretide.operators import filters
+from faretide.operators import filters, merge
 from faretide.schemas import TableSpec
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -130,6 +130,36 @@ class Lake:
         after = self._files(table, list(before))
         self.drop_partitions(table, [v for v, files in after.items() if files == before[v]])
 
+    def merge(
+        self,
+        table: TableSpec,
+        source: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str] = (),
+        deletes: DataFrame | None = None,
+    ) -> None:
+        """Upsert ``source`` into the stored table by ``keys``, and remove the keys of ``deletes``.
+
+        Of several source rows with one key the last in ``order`` counts. Only partitions that the changes name are
+        read and rewritten, so a key must stay in its partition, and ``deletes`` must carry the partition column.
+        The merged rows go to a work folder first: a table is never written from itself.
+        """
+        parts = list(table.partitions[:1])
+        changes = source.select(*keys, *[c for c in parts if c not in keys])
+        if deletes is not None:
+            changes = changes.unionByName(deletes.select(*changes.columns))
+        values = [row[0] for row in changes.select(*parts).distinct().collect()] if parts else None
+        rows = merge.upsert(self.read(table, values), source, keys, order or list(source.columns))
+        if deletes is not None:
+            rows = merge.apply_deletes(rows, deletes, keys)
+        staged = work_folder(self.spark, f"merge-{table.name}")
+        conform(rows, table.schema).write.parquet(staged)
+        merged = self.spark.read.schema(table.schema).parquet(staged)
+        if parts:
+            self.replace_partitions(merged, table, values)
+        else:
+            self.reload(merged, table)
+
     def _files(self, table: TableSpec, values: Sequence[str]) -> dict[str, set[str]]:
         fs, folders = self._partition_folders(table)
         found = {}
@@ -209,10 +239,15 @@ def apply_retention(df: DataFrame, column: str, days: int = 365, as_of=None) ->
     return filters.prune(kept, column, F.to_date(clock.back(clock.moment(as_of), days=days)), None)
 
 
-def expire(lake: Lake, table: TableSpec, days: int, as_of: datetime) -> list[str]:
-    """Drop the day or month partitions that lie wholly before the retention limit; gives their values."""
+def expire(lake: Lake, table: TableSpec, days: int, as_of: datetime, logs: Sequence[TableSpec] = ()) -> list[str]:
+    """Drop the day or month partitions that lie wholly before the retention limit; gives their values.
+
+    ``logs``, the tables from which ``table`` is rebuilt, lose the same days, so that a late change cannot bring them back.
+    """
     limit = date.fromordinal(as_of.date().toordinal() - days)
     before = {len("2024-01-31"): limit.isoformat(), len("202401"): limit.strftime("%Y%m")}
     old = [v for v in lake.partition_values(table) if len(v) in before and v < before[len(v)]]
+    for log in logs:
+        lake.drop_partitions(log, [v for v in lake.partition_values(log) if len(v) in before and v < before[len(v)]])
     lake.drop_partitions(table, old)
     return old

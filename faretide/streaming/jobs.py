@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from faretide.functions import clock
 from faretide.operators import decode, merge, quality, recon
 from faretide.plans import gold
 from faretide.schemas import ChangeSpec, TableSpec
+from faretide.sources import tables
 from faretide.sources.tables import Lake
 
 CDC_TRIGGER = {"processingTime": "30 seconds"}
@@ -177,16 +179,19 @@ def start_gold(
     zones: Callable[[], DataFrame],
     checkpoint: str,
     target: Target = TRIPS,
-    backfill: bool = True,
+    backfill: bool | None = None,
     min_rows: int = recon.MIN_SILVER_ROWS,
     **trigger,
 ) -> StreamingQuery:
     """Keep the gold tables up with silver, every 300 seconds unless a trigger is given.
 
-    With ``backfill`` all of silver is summed up first, which needs ``min_rows`` rows to be there;
-    after that only the days of new silver commits are.
+    With ``backfill`` (by default: only where there is no gold yet) all of silver is summed up first, which needs
+    ``min_rows`` rows to be there; after that only the days of new silver commits are. A restart from the same
+    checkpoint recomputes nothing.
     """
     silver = lake.read(target.current)
+    if backfill is None:
+        backfill = not lake.exists(schemas.GOLD_HOURLY)
     if backfill:
         if not recon.is_ready(silver, min_rows):
             raise RuntimeError(f"{target.current_name} has fewer than {min_rows} rows")
@@ -207,6 +212,11 @@ def start_gold(
     )
 
 
+def expire(lake: Lake, target: Target, days: int, as_of: datetime) -> list[str]:
+    """Drop what is older than ``days`` from the current table and from the logs behind it."""
+    return tables.expire(lake, target.current, days, as_of, (target.log, target.deletes))
+
+
 def rebuild(lake: Lake, target: Target) -> None:
     """Form the current table anew from its logs, all partitions."""
     scope = lake.partition_values(target.current)
