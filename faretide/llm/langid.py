@@ -221,7 +221,7 @@ def sample(docs: DataFrame, segment: int, per_lang: int, sample_rows: int, windo
     return sorted((r.lang, r.window) for r in rows)
 
 
-def train(docs: DataFrame, segment: int = 128, per_lang: int = 150, sample_rows: int = 6000, windows: int = 4, hidden: int = 8, steps: int = 120) -> Network:
+def train(docs: DataFrame, segment: int = 128, per_lang: int = 150, sample_rows: int = 6000, windows: int = 4, hidden: int = 8, steps: int = 200) -> Network:
     """The network fitted on ``docs`` (doc_id, text, lang)."""
     rows = sample(docs, segment, per_lang, sample_rows, windows)
     langs = sorted({lang for lang, _ in rows})
