@@ -2,10 +2,11 @@ r"""Near duplicates: an LSH forest of MinHash signatures.
 
 A document's set is its distinct runs of ``size`` words. Documents with the same set are one class and are linked at
 once. Each class has ``trees * depth`` MinHash values; tree t orders the classes by the values from ``t * depth`` on,
-round the signature. Classes that share a tree's first ``depth`` values form a region. A region of ``region`` members or
-fewer proposes each of its sorted neighbours as candidates. A larger one is cut deeper, by twice as many values, so
-that the depth follows how crowded the region is; its members also meet the region's first member, so that cutting
-does not part a large family. Members with equal values to the last depth meet that first member alone.
+round the signature. Classes whose longest common prefix in a tree's order is ``depth`` values or more are neighbours in a
+region. A region of ``region`` members or fewer proposes its members to one another. A larger one is cut deeper, by
+twice as many values, so that the depth follows how crowded the region is; its members also meet the region's
+first member, so that cutting does not part a large family. Members with equal values to the last depth meet that
+first member alone.
 
 Candidates are confirmed on full sets, in two rounds: first each class with its best candidate, then only candidates
 that these links have not joined already, as others cannot change a component. Links are exact: 100 * shared >=
@@ -85,29 +86,50 @@ def _sign(size: int, values: int):
     return run
 
 
-def _orders(trees: int, depth: int, levels: int):
-    """A row for each tree: hashes of the first ``depth``, twice, four times ... as many values of its order."""
+def _order_keys(values: np.ndarray, tree: np.ndarray, depth: int, used: int) -> np.ndarray:
+    """For each row of signature values: the hash of the first ``used`` of its tree's order, which begins at tree * depth."""
+    state = tree.astype(U) + U(1)
+    for k in range(used):
+        at = (tree * depth + k) % values.shape[1]
+        state = arrays.mix(state * U(arrays._BASE) + values[np.arange(len(values)), at])
+    return state.view(np.int64)
+
+
+def _orders(trees: int, depth: int):
+    """A row for each tree of each class, with the key of its region at the least depth."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            signature = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            values = _values(batch)
             for t in range(trees):
-                order = np.roll(signature, -t * depth, axis=1).astype(U)
-                hashes, used, state = [], 0, np.full(len(order), t + 1, U)
-                for level in range(levels):
-                    upto = min(order.shape[1], depth << level)
-                    for k in range(used, upto):
-                        state = arrays.mix(state * U(arrays._BASE) + order[:, k])
-                    used = upto
-                    hashes.append(pa.array(state.view(np.int64)))
-                names = ["_id", "_text_hash", "n_shingles", *(f"key_{i}" for i in range(levels))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *hashes], names=names)
+                tree = np.full(len(values), t)
+                own = [pa.array(tree), pa.array(_order_keys(values, tree, depth, depth))]
+                yield pa.RecordBatch.from_arrays([*own, *(batch.column(c) for c in (*KEY, "n_shingles"))], names=ROW)
+
+    return run
+
+
+def _deeper(depth: int, used: int):
+    """The same rows with the key of a deeper region."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            tree = batch.column("tree").to_numpy()
+            key = pa.array(_order_keys(_values(batch), tree, depth, used))
+            yield pa.RecordBatch.from_arrays([batch.column("tree"), key, *(batch.column(c) for c in (*KEY, "n_shingles"))], names=ROW)
 
     return run
 
 
+def _values(batch: pa.RecordBatch) -> np.ndarray:
+    joined = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).astype(U)
+    return joined.reshape(batch.num_rows, -1) if batch.num_rows else joined.reshape(0, 1)
+
+
+ROW = ["tree", "key", *KEY, "n_shingles"]
+ROW_SQL = "tree long, key long, _id long, _text_hash long, n_shingles long"
+
+
 def _neighbours(region: int, share: int):
     """Pairs of sorted neighbours of each region that could be alike by their sizes."""
 
@@ -158,40 +180,39 @@ class Forest:
     """The classes, candidates and confirmed links of ``docs``."""
 
     def __init__(self, docs: DataFrame, size: int = 5, share: int = 75, trees: int = 32, depth: int = 4, region: int = 24, levels: int = 4):
-        self.docs, self.size, self.share, self.region, self.levels = docs, size, share, region, levels
+        self.docs, self.size, self.share, self.region = docs, size, share, region
+        self.depth, self.levels, self.values = depth, levels, trees * depth
         keyed = common.keyed(docs).select("doc_id", *KEY, "text")
         schema = "doc_id long, _id long, _text_hash long, n_shingles long, set_1 long, set_2 long, signature binary"
         self.signed = common.saved(keyed.mapInArrow(_sign(size, trees * depth), schema))
         first = F.min(F.struct(*KEY, "n_shingles", "signature")).alias("first")
-        self.classes = common.saved(self.signed.where("n_shingles > 0").groupBy("set_1", "set_2").agg(first).select("set_1", "set_2", "first.*"))
-        keys = ", ".join(f"key_{i} long" for i in range(levels))
-        order = _orders(trees, depth, levels)
-        rows = self.classes.select(*KEY, "n_shingles", "signature").mapInArrow(order, f"_id long, _text_hash long, n_shingles long, {keys}")
-        shared = rows.groupBy("key_0").count().where("count > 1").select("key_0")
-        self.rows = common.saved(common.in_both(rows, shared, "key_0"))
+        filled = self.signed.where("n_shingles > 0")
+        self.classes = common.saved(filled.groupBy("set_1", "set_2").agg(first).select("set_1", "set_2", "first.*"))
+        rows = self.classes.select(*KEY, "n_shingles", "signature").mapInArrow(_orders(trees, depth), ROW_SQL)
+        shared = rows.groupBy("key").count().where("count > 1").select("key")
+        self.rows = common.saved(common.in_both(rows, shared, "key"))
 
     def candidates(self) -> DataFrame:
         """(a_id, a_hash, b_id, b_hash, trees): proposed pairs and how often they were proposed."""
-        parts, rows = [], self.rows
+        parts, rows, pair = [], self.rows, "a_id long, a_hash long, b_id long, b_hash long"
         for level in range(self.levels):
-            key = f"key_{level}"
-            counts = rows.groupBy(key).agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "n_shingles")).alias("hub"))
-            counts = counts.where("c > 1").withColumn("salted", F.xxhash64(key))
-            told = common.saved(rows.withColumn("salted", F.xxhash64(key)).join(counts, ["salted", key]).drop("salted"))
-            small = told.where(F.col("c") <= self.region).select(F.col(key).alias("key"), *KEY, "n_shingles", *(f"key_{i}" for i in range(self.levels)))
-            order = [f"key_{i}" for i in range(level + 1, self.levels)]
-            dealt = small.repartition("key").sortWithinPartitions("key", *order, *KEY).select("key", *KEY, "n_shingles")
-            parts.append(dealt.mapInArrow(_neighbours(self.region, self.share), "a_id long, a_hash long, b_id long, b_hash long"))
+            counts = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "n_shingles")).alias("hub"))
+            counts = counts.where("c > 1").withColumn("salted", F.xxhash64("key"))
+            told = common.saved(rows.withColumn("salted", F.xxhash64("key")).join(counts, ["salted", "key"]).drop("salted"))
+            small = told.where(F.col("c") <= self.region).select("key", *KEY, "n_shingles")
+            dealt = small.repartition("key").sortWithinPartitions("key", *KEY)
+            parts.append(dealt.mapInArrow(_neighbours(self.region, self.share), pair))
             big = told.where(F.col("c") > self.region)
             near = F.least("n_shingles", "hub.n_shingles") * 100 >= F.greatest("n_shingles", "hub.n_shingles") * self.share
-            parts.append(
-                big.where(near & (F.struct(*KEY) != F.struct("hub._id", "hub._text_hash"))).select(
-                    F.col("hub._id").alias("a_id"), F.col("hub._text_hash").alias("a_hash"), F.col("_id").alias("b_id"), F.col("_text_hash").alias("b_hash")
-                )
-            )
-            rows = big.drop("c", "hub")
-            if rows.isEmpty():
+            others = big.where(near & (F.struct(*KEY) != F.struct("hub._id", "hub._text_hash")))
+            hub = [F.col("hub._id").alias("a_id"), F.col("hub._text_hash").alias("a_hash")]
+            parts.append(others.select(*hub, F.col("_id").alias("b_id"), F.col("_text_hash").alias("b_hash")))
+            used = min(self.values, self.depth << (level + 1))
+            rest = big.select("tree", *KEY, "n_shingles")
+            if level + 1 == self.levels or rest.isEmpty():
                 break
+            rest = rest.join(self.classes.select(*KEY, "signature"), KEY)
+            rows = rest.mapInArrow(_deeper(self.depth, used), ROW_SQL)
         pairs = parts[0]
         for part in parts[1:]:
             pairs = pairs.unionByName(part)
@@ -210,8 +231,9 @@ class Forest:
         """(node, component) of the linked class representatives."""
         pairs = common.saved(self.candidates())
         ends = pairs.select(F.col("a_id").alias("_id"), F.col("a_hash").alias("_text_hash")).union(pairs.select("b_id", "b_hash")).distinct()
-        texts = common.keyed(self.docs).select(*KEY, "text").dropDuplicates(KEY).join(ends, KEY, "left_semi")
-        sets = common.saved(texts.mapInArrow(_sets(self.size), "_id long, _text_hash long, members binary"))
+        texts = common.keyed(self.docs).select(*KEY, "text").join(ends, KEY, "left_semi")
+        sets = texts.mapInArrow(_sets(self.size), "_id long, _text_hash long, members binary")
+        sets = common.saved(sets.dropDuplicates(KEY))
         # Round one: the candidate that most trees propose, of each class.
         sides = pairs.select(F.struct("a_id", "a_hash").alias("of"), F.struct("trees", "a_id", "a_hash", "b_id", "b_hash").alias("p"))
         sides = sides.union(pairs.select(F.struct(F.col("b_id"), F.col("b_hash")), F.struct("trees", "a_id", "a_hash", "b_id", "b_hash")))
