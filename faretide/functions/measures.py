@@ -2,7 +2,7 @@
 
 Measures arrive as FLOAT or DOUBLE. Adding doubles gives a result that depends on the order of
 the rows, so a retried task could change a report. Every sum here runs over whole units of a measure's
-last decimal (``MONEY``: hundredths; ``FINE``: millionths) held in a BIGINT: exact, independent of order, as fast as a double sum (it stays in generated code),
+last decimal (``MONEY``: hundredths; ``DISTANCE``, ``FINE``: smaller ones) held in a BIGINT: exact, independent of order, as fast as a double sum (it stays in generated code),
 and partial sums of it can be added again without loss. An overflow is an error under ANSI mode,
 never a silent wrap. NaN and the infinities count as missing values.
 """
@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 INFINITY = float("inf")
 
-#: Decimals: of money, and of distances, ratios and sums of them. Totals of the latter stay exact up to 9 * 10**9 in
-#: doubles, and up to 9 * 10**12 in the BIGINT.
+#: Decimals: of money; of distances, which may come as FLOAT and so have seven digits that count; of other doubles.
+#: A BIGINT holds totals of 9 * 10**16, 9 * 10**14 and 9 * 10**12 of them.
 MONEY = 2
+DISTANCE = 4
 FINE = 6
 
 

@@ -59,7 +59,7 @@ def realtime_activity(
         .agg(
             F.count("*").alias("pickup_count"),
             measures.exact_sum(F.col("total_amount")).alias("revenue_last_hour"),
-            measures.rounded(measures.exact_mean(F.col("trip_distance"), measures.FINE) / F.lit(2.0), 1).alias("avg_wait_time"),
+            measures.rounded(measures.exact_mean(F.col("trip_distance"), measures.DISTANCE) / F.lit(2.0), 1).alias("avg_wait_time"),
         )
     )
     return _busiest(per_zone, zones, "pickup_count", k).select(

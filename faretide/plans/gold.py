@@ -50,7 +50,7 @@ def _totals(*extra: str) -> list[Column]:
         measures.exact_sum(F.col("total_revenue")).alias("total_revenue"),
         measures.exact_sum(F.col("fare_sum")).alias("fare_sum"),
         F.sum("fare_count").alias("fare_count"),
-        measures.exact_sum(F.col("distance_sum"), measures.FINE).alias("distance_sum"),
+        measures.exact_sum(F.col("distance_sum"), measures.DISTANCE).alias("distance_sum"),
         F.sum("distance_count").alias("distance_count"),
         *[F.sum(name).alias(name) for name in extra],
     ]
@@ -62,7 +62,7 @@ def _trip_totals() -> list[Column]:
         measures.exact_sum(F.col("total_amount")).alias("total_revenue"),
         measures.exact_sum(F.col("fare_amount")).alias("fare_sum"),
         measures.value_count(F.col("fare_amount")).alias("fare_count"),
-        measures.exact_sum(F.col("trip_distance"), measures.FINE).alias("distance_sum"),
+        measures.exact_sum(F.col("trip_distance"), measures.DISTANCE).alias("distance_sum"),
         measures.value_count(F.col("trip_distance")).alias("distance_count"),
     ]
 

@@ -30,7 +30,7 @@ def weather_impact(
     hourly = kept.groupBy(F.to_date(filters.PICKUP).alias("date"), F.hour(filters.PICKUP).alias("clock_hour")).agg(
         F.count("*").alias("trips"),
         measures.rounded(measures.exact_mean(F.col("fare_amount")), 2).alias("avg_fare"),
-        measures.rounded(measures.exact_mean(F.col("trip_distance"), measures.FINE), 2).alias("avg_distance"),
+        measures.rounded(measures.exact_mean(F.col("trip_distance"), measures.DISTANCE), 2).alias("avg_distance"),
     )
     if weather is None:
         joined = hourly.withColumns(

@@ -38,7 +38,7 @@ def zone_performance(
             F.count("*").alias("pickups"),
             measures.exact_sum(F.col("total_amount")).alias("revenue"),
             measures.exact_mean(F.col("fare_amount")).alias("avg_fare"),
-            measures.exact_mean(F.col("trip_distance"), measures.FINE).alias("distance"),
+            measures.exact_mean(F.col("trip_distance"), measures.DISTANCE).alias("distance"),
             F.count_if(F.col("dolocationid") != F.col("pulocationid")).alias("dropoffs"),
         )
     )
