@@ -217,6 +217,7 @@ def time_series_bench(spark, d):
     return series.time_series(v.bench_trips(spark, d), "revenue", "day")
 
 
+# The weather thresholds and labels.
 IMPACT = f"""
 SELECT CAST(tpep_pickup_datetime AS DATE) AS date, strftime(tpep_pickup_datetime, '%H:00') AS hour,
   CASE WHEN w.time IS NULL THEN 'No Weather Data' WHEN precipitation > 5 THEN 'Rainy'

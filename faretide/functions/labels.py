@@ -17,6 +17,7 @@ def borough_label(name: Column) -> Column:
 
 def weather_condition(time: Column, precipitation: Column, temperature: Column) -> Column:
     """Weather bucket of an hour; the first rule that holds wins."""
+    # The thresholds and labels.
     return (
         F.when(time.isNull(), "No Weather Data")
         .when(precipitation > 5, "Rainy")
@@ -29,6 +30,7 @@ def weather_condition(time: Column, precipitation: Column, temperature: Column)
 
 def peak_hour(hour: Column) -> Column:
     """Morning and evening rush, both ends included."""
+    # The hours.
     return F.coalesce(hour.between(7, 9) | hour.between(17, 19), F.lit(False))
 
 

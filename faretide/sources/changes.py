@@ -13,7 +13,6 @@ TOPICS = {
     "weather": "postgres.public.nyc_weather_hourly",
     "zones": "postgres.public.taxi_zones",
 }
-MAX_RECORDS_PER_TRIGGER = 10_000
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 
 
@@ -22,7 +21,8 @@ def _named(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("value"), offset.alias("offset"))
 
 
-def kafka_options(topic: str, servers: str, max_records: int | None = MAX_RECORDS_PER_TRIGGER) -> dict[str, str]:
+def kafka_options(topic: str, servers: str, max_records: int | None = None) -> dict[str, str]:
+    """Source options; ``max_records`` bounds a micro-batch, by default it takes all that is there."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": TOPICS.get(topic, topic), **KAFKA_DEFAULTS}
     if max_records:
         options["maxOffsetsPerTrigger"] = str(max_records)

@@ -87,10 +87,10 @@ def test_export_and_read_back(spark, tmp_path, fmt):
 
 
 def test_kafka_options():
-    options = changes.kafka_options("trips", "broker:9092")
+    options = changes.kafka_options("trips", "broker:9092", 10_000)
     assert options["subscribe"] == "postgres.public.yellow_taxi_trips"
     assert (options["startingOffsets"], options["maxOffsetsPerTrigger"]) == ("earliest", "10000")
-    assert "maxOffsetsPerTrigger" not in changes.kafka_options("weather", "broker:9092", None)
+    assert "maxOffsetsPerTrigger" not in changes.kafka_options("weather", "broker:9092")
 
 
 def gaps(spark, ranges, covered, as_of="2024-06-01 00:00:00"):
