@@ -231,9 +231,10 @@ class Forest:
         """(node, component) of the linked class representatives."""
         pairs = common.saved(self.candidates())
         ends = pairs.select(F.col("a_id").alias("_id"), F.col("a_hash").alias("_text_hash")).union(pairs.select("b_id", "b_hash")).distinct()
-        texts = common.keyed(self.docs).select(*KEY, "text").join(ends, KEY, "left_semi")
-        sets = texts.mapInArrow(_sets(self.size), "_id long, _text_hash long, members binary")
-        sets = common.saved(sets.dropDuplicates(KEY))
+        # Merged at every size: no bound is known for the ends, and repeated rows then meet without another shuffle.
+        texts = common.keyed(self.docs).select(*KEY, "text").join(ends.hint("merge"), KEY, "left_semi")
+        sets = texts.dropDuplicates(KEY).mapInArrow(_sets(self.size), "_id long, _text_hash long, members binary")
+        sets = common.saved(sets)
         # Round one: the candidate that most trees propose, of each class.
         sides = pairs.select(F.struct("a_id", "a_hash").alias("of"), F.struct("trees", "a_id", "a_hash", "b_id", "b_hash").alias("p"))
         sides = sides.union(pairs.select(F.struct(F.col("b_id"), F.col("b_hash")), F.struct("trees", "a_id", "a_hash", "b_id", "b_hash")))
