@@ -10,7 +10,13 @@ first member alone.
 
 Candidates are confirmed on full sets, in two rounds: first each class with its best candidate, then only candidates
 that these links have not joined already, as others cannot change a component. Links are exact: 100 * shared >=
-75 * union. A pair at the limit of 0.75 is missed by all 32 trees of depth 4 with a chance of five in a million.
+75 * union.
+
+Cutting may still part a pair, such as a base and a copy of it where the region's first member is neither. So the
+regions above ``region`` at the least depth are dealt again: where one holds several components, every member outside its
+largest is compared on full sets with every member of another component, in blocks of ``block`` members. So all pairs of
+a region are proposed or compared, however crowded it is: a pair at the limit of 0.75 is missed by all 32 trees of depth
+4 with a chance of five in a million, and no other pair is missed more often.
 
 Sets are sets of 64-bit hashes of the words' bytes. Defined results: a null, empty or blank text has an empty set and
 no links; rows that share a doc_id are one node; null ids are one node with the largest id, shown as null; extra
@@ -171,17 +177,114 @@ def _confirm(share: int):
                 x, y = np.frombuffer(a.as_py(), U), np.frombuffer(b.as_py(), U)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 alike.append(100 * both >= share * (len(x) + len(y) - both))
-            yield batch.select(["a_id", "b_id"]).filter(pa.array(alike, pa.bool_()))
+            yield batch.select(["a_id", "a_hash", "b_id", "b_hash"]).filter(pa.array(alike, pa.bool_()))
+
+    return run
+
+
+def _shared(row: np.ndarray, column: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many columns each row of ``a`` and each of ``b`` have both; (row, column) are the entries."""
+    n = int(column.max(initial=-1)) + 1
+    sides = []
+    for rows in (a, b):
+        place = np.full(int(row.max(initial=-1)) + 1, -1)
+        place[rows] = np.arange(len(rows))
+        own = place[row] >= 0
+        sides.append((place[row[own]], column[own]))
+    held = [np.bincount(c, minlength=n) for _, c in sides]
+    pairs = held[0] * held[1]
+    # Columns that many hold are multiplied as matrices, and come first; the others' pairs are counted one by one.
+    dense = 32 * pairs >= len(a) * len(b)
+    order = np.argsort(~dense, kind="stable")
+    number = np.empty(n, np.int64)
+    number[order] = np.arange(n)
+    (row_a, col_a), (row_b, col_b) = ((r[o := np.argsort(number[c], kind="stable")], number[c][o]) for r, c in sides)
+    both, n_dense = np.zeros((len(a), len(b)), np.int64), int(dense.sum())
+    for low in range(0, n_dense, 1024):
+        high = min(low + 1024, n_dense)
+        parts = []
+        for r, c, size in ((row_a, col_a, len(a)), (row_b, col_b, len(b))):
+            part = slice(*np.searchsorted(c, [low, high]))
+            parts.append(np.zeros((size, high - low), np.float32))
+            parts[-1][r[part], c[part] - low] = 1
+        both += (parts[0] @ parts[1].T).astype(np.int64)
+    at = int(np.searchsorted(col_a, n_dense))
+    row_a, col_a = row_a[at:], col_a[at:]
+    many, begin = held[1][order[col_a]], np.searchsorted(col_b, col_a)
+    ends = np.cumsum(many)
+    low = 0
+    while low < len(many):
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 22))))
+        k = many[low:high]
+        place = np.repeat(begin[low:high] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+        both += np.bincount(np.repeat(row_a[low:high], k) * len(b) + row_b[place], minlength=both.size).reshape(both.shape)
+        low = high
+    return both
+
+
+def _joining(pairs: np.ndarray) -> list[int]:
+    """Which of the pairs of numbers join what those before them have not."""
+    parent: dict[int, int] = {}
+    out = []
+    for k, ends in enumerate(pairs.tolist()):
+        roots = []
+        for x in ends:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            roots.append(x)
+        if roots[0] != roots[1]:
+            parent[max(roots)] = min(roots)
+            out.append(k)
+    return out
+
+
+def _across(share: int):
+    """Links between the components of a block: as many as join them."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for table in arrays.whole_keys(batches, "block", 1 << 22):
+            block = table.column("block").to_numpy()
+            edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                part = table.slice(low, high - low)
+                sets = [np.frombuffer(x, U) for x in part.column("members").to_pylist()]
+                sizes = np.array([len(x) for x in sets])
+                ids, hashes, side, of_id, of_hash = (part.column(c).to_numpy() for c in (*KEY, "side", "of_id", "of_hash"))
+                order = np.lexsort((of_hash, of_id))
+                of = np.empty(len(order), np.int64)
+                of[order] = arrays.groups(of_id[order], of_hash[order])
+                a = np.flatnonzero(side == 0)
+                b = np.flatnonzero(side == 1) if side.any() else a
+                column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+                both = _shared(np.repeat(np.arange(len(sets)), sizes), column, a, b)
+                alike = 100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)
+                x, y = np.nonzero(alike & (of[a][:, None] != of[b][None, :]))
+                x, y = a[x], b[y]
+                least = np.unique(np.sort(np.stack([of[x], of[y]], 1), 1), axis=0, return_index=True)[1]
+                x, y = x[least], y[least]
+                keep = _joining(np.stack([of[x], of[y]], 1))
+                columns = [pa.array(v) for v in (ids[x[keep]], hashes[x[keep]], ids[y[keep]], hashes[y[keep]])]
+                yield pa.RecordBatch.from_arrays(columns, names=["a_id", "a_hash", "b_id", "b_hash"])
 
     return run
 
 
+PAIR = "a_id long, a_hash long, b_id long, b_hash long"
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The links (u, v) between the nodes of ``pairs``."""
+    sides = (("a", "u"), ("b", "v"))
+    return pairs.select(*(F.struct(F.col(f"{s}_id").alias("_id"), F.col(f"{s}_hash").alias("_text_hash")).alias(end) for s, end in sides))
+
+
 class Forest:
-    """The classes, candidates and confirmed links of ``docs``."""
+    """The classes, candidates and confirmed links of ``docs``. A node is the _id and _text_hash of a class's first row."""
 
-    def __init__(self, docs: DataFrame, size: int = 5, share: int = 75, trees: int = 32, depth: int = 4, region: int = 24, levels: int = 4):
-        self.docs, self.size, self.share, self.region = docs, size, share, region
-        self.depth, self.levels, self.values = depth, levels, trees * depth
+    def __init__(self, docs: DataFrame, size: int = 5, share: int = 75, trees: int = 32, depth: int = 4, region: int = 24, levels: int = 4, block: int = 256):
+        self.docs, self.size, self.share, self.region, self.block = docs, size, share, region, block
+        self.trees, self.depth, self.levels, self.values = trees, depth, levels, trees * depth
         keyed = common.keyed(docs).select("doc_id", *KEY, "text")
         schema = "doc_id long, _id long, _text_hash long, n_shingles long, set_1 long, set_2 long, signature binary"
         self.signed = common.saved(keyed.mapInArrow(_sign(size, trees * depth), schema))
@@ -194,15 +297,17 @@ class Forest:
 
     def candidates(self) -> DataFrame:
         """(a_id, a_hash, b_id, b_hash, trees): proposed pairs and how often they were proposed."""
-        parts, rows, pair = [], self.rows, "a_id long, a_hash long, b_id long, b_hash long"
+        parts, rows = [], self.rows
         for level in range(self.levels):
             counts = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "n_shingles")).alias("hub"))
             counts = counts.where("c > 1").withColumn("salted", F.xxhash64("key"))
             told = common.saved(rows.withColumn("salted", F.xxhash64("key")).join(counts, ["salted", "key"]).drop("salted"))
             small = told.where(F.col("c") <= self.region).select("key", *KEY, "n_shingles")
             dealt = small.repartition("key").sortWithinPartitions("key", *KEY)
-            parts.append(dealt.mapInArrow(_neighbours(self.region, self.share), pair))
+            parts.append(dealt.mapInArrow(_neighbours(self.region, self.share), PAIR))
             big = told.where(F.col("c") > self.region)
+            if level == 0:
+                self.crowded = big.select("tree", "key", *KEY, "n_shingles")
             near = F.least("n_shingles", "hub.n_shingles") * 100 >= F.greatest("n_shingles", "hub.n_shingles") * self.share
             others = big.where(near & (F.struct(*KEY) != F.struct("hub._id", "hub._text_hash")))
             hub = [F.col("hub._id").alias("a_id"), F.col("hub._text_hash").alias("a_hash")]
@@ -225,12 +330,55 @@ class Forest:
         for side in ("a", "b"):
             own = sets.select(F.col("_id").alias(f"{side}_id"), F.col("_text_hash").alias(f"{side}_hash"), F.col("members").alias(f"{side}_set"))
             pairs = pairs.join(own, [f"{side}_id", f"{side}_hash"])
-        return pairs.select("a_id", "b_id", "a_set", "b_set").mapInArrow(_confirm(self.share), "a_id long, b_id long").select(F.col("a_id").alias("u"), F.col("b_id").alias("v"))
+        return _ends(pairs.select("a_id", "a_hash", "b_id", "b_hash", "a_set", "b_set").mapInArrow(_confirm(self.share), PAIR))
+
+    def _blocks(self, rows: DataFrame, linked: DataFrame) -> DataFrame:
+        """(block, side, _id, _text_hash, of_id, of_hash): what to compare of the crowded ``rows``.
+
+        Members outside their region's largest component are compared with all, those inside only with the others.
+        """
+        named = linked.select("node._id", "node._text_hash", "component")
+        rows = rows.join(named, KEY, "left").withColumn("of", F.coalesce("component", F.struct(*KEY))).drop("component")
+        rows = common.saved(rows.withColumn("salted", F.xxhash64("key")))
+        parts = rows.groupBy("key", "of").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("n"))
+        regions = parts.groupBy("key").agg(F.max(F.struct("c", "of", "n")).alias("top"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+        size = lambda c, n: F.ceil(F.greatest(c / F.lit(self.block), n / F.lit(self.block << 12)))
+        others = size(F.col("c") - F.col("top.c"), F.col("n") - F.col("top.n"))
+        regions = regions.where("c > top.c").select("key", F.xxhash64("key").alias("salted"), F.col("top.of").alias("top"), others.alias("others"), size(F.col("top.c"), F.col("top.n")).alias("largest"))
+        dealt = rows.join(regions, ["salted", "key"])
+        own, inside = F.xxhash64(*KEY, F.lit(1)), F.col("of") == F.col("top")
+        dealt = dealt.withColumn("part", F.when(inside, F.col("others") + F.pmod(own, "largest")).otherwise(F.pmod(own, "others")))
+        last = F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("largest")) - 1
+        dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        low, high = F.least("part", "with"), F.greatest("part", "with")
+        side = (F.col("part") > F.col("with")).cast("long").alias("side")
+        return dealt.select(F.xxhash64("key", low, high).alias("block"), side, *KEY, F.col("of._id").alias("of_id"), F.col("of._text_hash").alias("of_hash"))
+
+    def _across_crowded(self, linked: DataFrame, sets: DataFrame) -> DataFrame:
+        """``linked``, and joined what is alike in a crowded region but was parted when that was cut.
+
+        A few trees first: what they join need not be compared again in the others.
+        """
+        if self.crowded.isEmpty():
+            return linked
+        for low, high in ((0, 2), (2, 8), (8, self.trees)):
+            rows = self.crowded.where(F.col("tree").between(low, high - 1))
+            blocks = common.saved(self._blocks(rows, linked))
+            if blocks.isEmpty():
+                continue
+            dealt = blocks.join(sets, KEY).repartition("block").sortWithinPartitions("block")
+            more = common.saved(_ends(dealt.mapInArrow(_across(self.share), PAIR)))
+            if more.isEmpty():
+                continue
+            found = linked.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
+            linked = common.saved(components(found))
+        return linked
 
     def links(self) -> DataFrame:
         """(node, component) of the linked class representatives."""
         pairs = common.saved(self.candidates())
-        ends = pairs.select(F.col("a_id").alias("_id"), F.col("a_hash").alias("_text_hash")).union(pairs.select("b_id", "b_hash")).distinct()
+        ends = pairs.select(F.col("a_id").alias("_id"), F.col("a_hash").alias("_text_hash")).union(pairs.select("b_id", "b_hash"))
+        ends = ends.union(self.crowded.select(*KEY)).distinct()
         # Merged at every size: no bound is known for the ends, and repeated rows then meet without another shuffle.
         texts = common.keyed(self.docs).select(*KEY, "text").join(ends.hint("merge"), KEY, "left_semi")
         sets = texts.dropDuplicates(KEY).mapInArrow(_sets(self.size), "_id long, _text_hash long, members binary")
@@ -243,27 +391,30 @@ class Forest:
         # Round two: what could still join two of these.
         rest = pairs.drop("trees").join(best, ["a_id", "a_hash", "b_id", "b_hash"], "left_anti")
         for side in ("a", "b"):
-            named = first.select(F.col("node").alias(f"{side}_id"), F.col("component").alias(f"{side}_of"))
-            rest = rest.join(named, f"{side}_id", "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", f"{side}_id"))
+            own = [f"{side}_id", f"{side}_hash"]
+            named = first.select(F.col("node._id").alias(own[0]), F.col("node._text_hash").alias(own[1]), F.col("component").alias(f"{side}_of"))
+            alone = F.struct(F.col(own[0]).alias("_id"), F.col(own[1]).alias("_text_hash"))
+            rest = rest.join(named, own, "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", alone))
         more = self._confirmed(rest.where("a_of <> b_of").drop("a_of", "b_of"), sets)
         found = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
-        return components(found)
+        return self._across_crowded(common.saved(components(found)), sets)
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     forest = Forest(docs, **how)
-    classes = common.apart(forest.classes, ["set_1", "set_2"], "key").select("key", "set_2", F.col("_id").alias("node"))
+    first = F.struct(*KEY).alias("node")
+    classes = common.apart(forest.classes, ["set_1", "set_2"], "key").select("key", "set_2", first)
     # Rows that share a doc_id are one node, so their classes are linked.
-    rows = common.apart(forest.signed, ["set_1", "set_2"], "key").select("doc_id", "_id", "n_shingles", "key", "set_2")
-    rows = common.saved(rows.join(classes, ["key", "set_2"], "left").withColumn("node", F.coalesce("node", "_id")))
+    rows = common.apart(forest.signed, ["set_1", "set_2"], "key").select("doc_id", *KEY, "n_shingles", "key", "set_2")
+    rows = common.saved(rows.join(classes, ["key", "set_2"], "left").withColumn("node", F.coalesce("node", first)))
     twice = rows.where("n_shingles > 0").groupBy("_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
     linked = forest.links()
     if not twice.isEmpty():
-        more = rows.join(twice.select("_id", "u"), "_id").select(F.col("node").alias("u"), F.col("u").alias("v"))
+        more = rows.where("n_shingles > 0").join(twice.select("_id", "u"), "_id").select(F.col("node").alias("u"), F.col("u").alias("v"))
         linked = components(linked.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
     told = rows.join(linked, "node", "left")
-    least = F.least(F.coalesce("component", "node"), F.col("_id"))
+    least = F.least(F.coalesce("component", "node")["_id"], F.col("_id"))
     component = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(least)
     shown = F.when(component != common.NO_ID, component)
     return told.select("doc_id", "n_shingles", shown.alias("component_id"), (F.col("_id") == component).alias("kept"))

@@ -113,6 +113,33 @@ def test_near_crowded(spark, region):
     assert got == brute.near(rows)
 
 
+@pytest.mark.parametrize("how", [{}, {"block": 16}])
+def test_near_base_with_many_copies(spark, how):
+    """Copies 0.79 like their base and less than 0.75 like one another; the base's id is in the middle."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(1150, " ".join(base))]
+    for i in range(320):
+        text = list(base)
+        for k in rng.sample(range(1, 59), 7):
+            text[5 * k] = f"edit{i}x{k}"
+        rows.append((1000 + i + (i >= 150), " ".join(text)))
+    got = sorted(map(tuple, minhash_forest.near_duplicates(frame(spark, rows), **how).collect()))
+    assert got == brute.near(rows)
+    assert {r[2] for r in got} == {1000}
+
+
+def test_near_shared_counts():
+    """Dense and sparse columns, of the same rows and of others."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    held = rng.random((40, 3000)) < np.r_[np.full(1500, 0.5), np.full(1500, 0.03)]
+    row, column = np.nonzero(held)
+    for a, b in ((np.arange(40), np.arange(40)), (np.arange(0, 40, 2), np.arange(1, 40, 2))):
+        assert (minhash_forest._shared(row, column, a, b) == held[a].astype(int) @ held[b].astype(int).T).all()
+
+
 def test_near_odd_rows(spark, odd, empty):
     got = minhash_forest.near_duplicates(odd).collect()
     assert sorted((brute.NO_ID if r[0] is None else r[0], r[1], brute.NO_ID if r[2] is None else r[2], r[3]) for r in got) == brute.near(ODD)
