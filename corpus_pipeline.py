@@ -38,10 +38,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; of rows that share its id, one."""
-    told = minhash_forest.near_duplicates(docs.select("doc_id", "text")).where("kept").select(common.order_id().alias("_kept_id")).distinct()
-    rows = docs.withColumn("_kept_id", common.order_id()).join(told, "_kept_id", "left_semi")
-    return rows.dropDuplicates(["_kept_id"]).select(*docs.columns)
+    """One row of each group of alike texts, and all without words. Rows that share an id, or have none, are rows like others."""
+    rows = docs.withColumns({"_kept_id": common.order_id(), "_kept_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    blank = F.btrim(F.coalesce("text", F.lit("")), F.lit(common.SPACE)) == ""
+    told = minhash_forest.kept_rows(docs.select("doc_id", "text")).toDF("_kept_id", "_kept_hash")
+    first = rows.where(~blank).join(told, ["_kept_id", "_kept_hash"], "left_semi").dropDuplicates(["_kept_id", "_kept_hash"])
+    return first.unionByName(rows.where(blank)).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

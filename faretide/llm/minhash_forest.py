@@ -400,6 +400,18 @@ class Forest:
         return self._across_crowded(common.saved(components(found)), sets)
 
 
+def kept_rows(docs: DataFrame, **how) -> DataFrame:
+    """(_id, _text_hash) of the first row of each group of alike rows that have words, each once.
+
+    Rows are told apart by id and text: those that share an id, or have none, are linked only where they are alike.
+    """
+    forest = Forest(docs, **how)
+    own = F.struct(*KEY)
+    # The first row of a group is the first of its class, so the classes tell it.
+    nodes = forest.classes.select(*KEY, own.alias("node")).join(forest.links(), "node", "left")
+    return nodes.where(F.coalesce("component", "node") == F.col("node")).select(*KEY)
+
+
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     forest = Forest(docs, **how)

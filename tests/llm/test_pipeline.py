@@ -38,6 +38,16 @@ def test_stages_on_odd_rows(spark, odd, empty):
     assert corpus_pipeline.near_duplicates(spark, odd, FOLDER).count() == len({d for d, _ in ODD})
 
 
+def test_near_duplicates_of_shared_and_missing_ids(spark):
+    """Only alike texts are dropped; ids that repeat or are missing neither link nor drop."""
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(100)) for name in "abcd")
+    rows = [(5, f"{a} x"), (7, f"{b} x"), (None, a), (None, b), (None, c), (9, c), (9, d), (9, d), (8, ""), (8, None), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = map(tuple, corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect())
+    want = [(5, f"{a} x"), (7, f"{b} x"), (9, c), (9, d), (8, ""), (8, None), (None, " ")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_every_operator_is_registered():
     names = sorted(queries.QUERIES)
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
