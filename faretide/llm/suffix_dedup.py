@@ -12,7 +12,7 @@ That member, unless it is the parent's earliest, is what the parent's length rem
 however deep the tree is, and no group is walked member by member for its ancestors.
 
 A string is compared within its piece, a run of windows with one minimiser; a repeat that goes on beyond is found piece
-by piece, as overlapping groups. Pieces that are exact copies are one member with all their places.
+by piece, as overlapping groups. Pieces that are exact copies are one member; ``groups`` lists all their places.
 
 Defined results: a null text is empty; matches never cross documents; documents shorter than a window lose nothing; a
 null doc_id comes last; rows that share a doc_id are ordered by a hash of their text, and rows equal in both are
@@ -199,7 +199,7 @@ PACKED_SQL = (
     "rest:array<struct<start:bigint,size:bigint>>>>"
 )
 SPANS = "_id long, _text_hash long, start long, size long"
-GROUPS = f"array string, rank long, {SPANS.rpartition(',')[0]}, groups array<struct<length:bigint,last:bigint>>"
+GROUPS = f"array string, rank long, {SPANS.rpartition(',')[0]}, piece_start long, groups array<struct<length:bigint,last:bigint>>"
 
 
 def _scan(window: int, least_bytes: int, groups_too: bool):
@@ -212,7 +212,7 @@ def _scan(window: int, least_bytes: int, groups_too: bool):
             array = SuffixArray(table.column("packed").to_pylist(), n)
             start = starts[array.string] + array.at - array.first[array.string]
             place = document[array.string] * (int(starts.max(initial=0) + n.max(initial=0)) + 1) + start
-            rows, found = [], []
+            rows, found, begun, inside = [], [], {}, np.zeros(len(place), bool)
             for low, high in array.runs(window):
                 before = array.before[low:high].tolist()
                 if len(set(before)) == 1:
@@ -226,8 +226,18 @@ def _scan(window: int, least_bytes: int, groups_too: bool):
                         rows.extend(low + x for x in losers)
                         found.extend([length] * len(losers))
                 if opened:
-                    rows.extend(range(low, high))
-                    found.extend(opened.get(x, []) for x in range(high - low))
+                    inside[low:high] = True
+                    begun.update((low + x, found_here) for x, found_here in opened.items())
+            if groups_too:
+                # A copied piece is a repeat itself, unless an interval of its length holds it with others.
+                whole = (n + window - 1)[array.string]
+                least = np.maximum(array.lcp, np.r_[array.lcp[1:], 0])
+                copied = table.column("copied").to_numpy(zero_copy_only=False)[array.string]
+                for rank in np.flatnonzero(copied & (array.at == array.first[array.string]) & (least < whole)).tolist():
+                    inside[rank] = True
+                    begun.setdefault(rank, []).append({"length": int(whole[rank]), "last": rank})
+                rows = np.flatnonzero(inside).tolist()
+                found = [begun.get(x, []) for x in rows]
             if not rows:
                 continue
             take = np.array(rows)
@@ -236,8 +246,8 @@ def _scan(window: int, least_bytes: int, groups_too: bool):
             names = ["_id", "_text_hash", "start"]
             if groups_too:
                 name = uuid.uuid4().hex
-                columns = [pa.array([name] * len(take)), pa.array(take), *columns, pa.array(found, GROUP_LIST)]
-                names = ["array", "rank", *names, "groups"]
+                columns = [pa.array([name] * len(take)), pa.array(take), *columns, pa.array(starts[string]), pa.array(found, GROUP_LIST)]
+                names = ["array", "rank", *names, "piece_start", "groups"]
             else:
                 columns, names = [*columns, pa.array(found, pa.int64())], [*names, "size"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -255,21 +265,63 @@ class Repeats:
         self.window, self.bucket_bytes = window, bucket_bytes
         self.found = common.saved(buckets.candidates(docs, buckets.byte_units, window, gram))
         self.unique = common.saved(buckets.distinct(self.found))
-        wanted = buckets.contested(self.unique, hot).select("first.*", "mini", "piece", "n", "hot")
-        lists = buckets.with_lists(docs, wanted, ["mini", "piece", "start", "n", "hot"], "inner")
+        self.wanted = buckets.contested(self.unique, hot).select("first.*", "mini", "piece", "n", "hot")
+        lists = buckets.with_lists(docs, self.wanted, ["mini", "piece", "start", "n", "hot"], "inner")
         rows = lists.select("_id", "_text_hash", "text", "items").mapInArrow(_pack(window), PACKED_SQL)
         self.packed = common.saved(rows)
         cold = self.packed.where("packed IS NOT NULL").drop("members")
         self.cold = cold.repartition("hash_1").sortWithinPartitions("hash_1")
 
     def groups(self) -> DataFrame:
-        """Maximal repeats of the cold buckets: a row for each member suffix, by its rank in its suffix array.
+        """Maximal repeats: a row for each occurrence of each member suffix, by its rank in its suffix array.
 
         ``groups`` lists the repeats that begin at this rank: their length, and the rank of their last member. All
         occurrences of a repeat are the rows of that ``array`` from the one rank to the other, so that nested repeats
-        do not list their members again.
+        do not list their members again; exact copies have the same rank. Copied pieces outside the suffix arrays, and
+        the repeated windows of hot buckets, are an ``array`` each, of rank 0; those windows are not joined to longer repeats.
         """
-        return self.cold.mapInArrow(_scan(self.window, self.bucket_bytes, True), GROUPS)
+        first = [F.col(f"first.{c}").alias(f"of{c}" if c[0] == "_" else f"of_{c}") for c in buckets.PLACE]
+        of = ["of_id", "of_text_hash", "of_start"]
+        shared = self.unique.where("places > 1").select("mini", "piece", "first")
+        later = common.apart(self.found, ["mini", "piece"], "key").join(common.apart(shared, ["mini", "piece"], "key").select("key", "piece", "first"), ["key", "piece"])
+        later = later.where(F.struct(*buckets.PLACE) > F.col("first"))
+        later = common.saved(later.select("mini", "piece", "n", *first, *buckets.PLACE).distinct())
+        copied = later.select("mini", "piece", "n", *of).distinct()
+
+        # In suffix arrays: members, and the copies of their pieces.
+        cold = self.packed.where("packed IS NOT NULL").drop("members").withColumnsRenamed(dict(zip(buckets.PLACE, of)))
+        cold = cold.join(copied.select(*of, F.lit(True).alias("copied")), of, "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
+        cold = cold.withColumnsRenamed(dict(zip(of, buckets.PLACE))).repartition("hash_1").sortWithinPartitions("hash_1")
+        members = common.saved(cold.mapInArrow(_scan(self.window, self.bucket_bytes, True), GROUPS))
+        names = ["array", "rank", *buckets.PLACE, "groups"]
+        moved = members.withColumnsRenamed({"_id": "of_id", "_text_hash": "of_text_hash", "piece_start": "of_start", "start": "at"})
+        moved = moved.join(later.drop("mini", "piece", "n"), of).withColumn("start", F.col("start") + F.col("at") - F.col("of_start"))
+        found = members.select(*names).unionByName(moved.withColumn("groups", F.slice("groups", 1, 0)).select(*names))
+
+        # Copied pieces that have no rival, or stand in a hot bucket.
+        group = lambda length: F.array(F.struct(length.cast("long").alias("length"), F.lit(0).cast("long").alias("last"))).alias("groups")
+        apart = copied.join(self.wanted.where("NOT hot").select("mini", "piece"), ["mini", "piece"], "left_anti")
+        places = apart.select("mini", "piece", "n", *(F.col(o).alias(c) for o, c in zip(of, buckets.PLACE)))
+        places = places.unionByName(later.join(apart.select("mini", "piece"), ["mini", "piece"]).select(*places.columns))
+        name = F.concat(F.lit("piece-"), F.hex("mini"), F.lit("-"), F.hex("piece")).alias("array")
+        found = found.unionByName(places.select(name, F.lit(0).cast("long").alias("rank"), *buckets.PLACE, group(F.col("n") + self.window - 1)))
+
+        # Windows of hot buckets, in the first place of their piece and in its copies.
+        windows = self.packed.where("members IS NOT NULL").select("hash_1", "hash_2", F.explode("members").alias("m"))
+        windows = windows.select("hash_1", "hash_2", "m._id", "m._text_hash", F.explode("m.spans").alias("s"))
+        last = F.col("s.start") + F.col("s.size") - self.window
+        windows = windows.select("hash_1", "hash_2", "_id", "_text_hash", F.explode(F.sequence("s.start", last)).alias("start"))
+        cut = later.join(self.wanted.where("hot").select("mini", "piece"), ["mini", "piece"])
+        cut = cut.select(F.col("n"), *of, F.col("_id").alias("to_id"), F.col("_text_hash").alias("to_hash"), F.col("start").alias("to_start"))
+        held = (F.col("_id") == F.col("of_id")) & (F.col("_text_hash") == F.col("of_text_hash"))
+        held &= (F.col("start") >= F.col("of_start")) & (F.col("start") < F.col("of_start") + F.col("n"))
+        again = windows.join(cut, held).withColumn("start", F.col("start") - F.col("of_start") + F.col("to_start"))
+        again = again.select("hash_1", "hash_2", F.col("to_id").alias("_id"), F.col("to_hash").alias("_text_hash"), "start")
+        windows = common.saved(windows.unionByName(again).distinct())
+        repeated = windows.groupBy("hash_1", "hash_2").count().where("count > 1").drop("count")
+        windows = common.apart(windows, ["hash_1", "hash_2"], "key").join(common.apart(repeated, ["hash_1", "hash_2"], "key").drop("hash_1"), ["key", "hash_2"])
+        name = F.concat(F.lit("window-"), F.hex("hash_1"), F.lit("-"), F.hex("hash_2")).alias("array")
+        return found.unionByName(windows.select(name, F.lit(0).cast("long").alias("rank"), *buckets.PLACE, group(F.lit(self.window))))
 
     def copies(self) -> DataFrame:
         """(_id, _text_hash, start, n): places of pieces that occur exactly so at an earlier place."""

@@ -78,6 +78,32 @@ def test_repeat_groups_hold_all_members(spark):
     assert 5 in sizes
 
 
+@pytest.mark.parametrize("hot", [1, 2048])
+def test_repeat_groups_hold_all_places(spark, hot):
+    """Also exact copies: of a document, and of a passage in the same and in other surroundings."""
+    rng = random.Random(6)
+    some = ["".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(5)]
+    texts = {1: some[0], 2: some[0], 3: some[1], 4: "x" + some[1][50:300] + some[2], 5: some[1][:250] + "y", 6: some[1], 7: some[3] + some[4], 8: some[3]}
+    rows = [*texts.items(), (1, some[0])]
+    got = suffix_dedup.Repeats(frame(spark, rows), hot=hot).groups().collect()
+    places, held = {}, {}
+    for r in got:
+        places.setdefault((r.array, r.rank), set()).add((r._id, r.start))
+    for r in got:
+        for g in r.groups:
+            of = set().union(*(places.get((r.array, k), set()) for k in range(r.rank, g.last + 1)))
+            assert len(of) > 1 and len({texts[d][at : at + g.length] for d, at in of}) == 1
+            for k in range(g.length - 99):
+                window = texts[r._id][r.start + k : r.start + k + 100]
+                held.setdefault(window, []).append({(d, at + k) for d, at in of})
+    want = {}
+    for d, text in texts.items():
+        for at in range(len(text) - 99):
+            want.setdefault(text[at : at + 100], set()).add((d, at))
+    want = {w: of for w, of in want.items() if len(of) > 1}
+    assert set(held) == set(want) and all(max(held[w], key=len) == of for w, of in want.items())
+
+
 @pytest.mark.parametrize("names", [("aabaabaab" * 3, "baab" * 9), ("mississippi" * 4, "ssi" * 15)])
 def test_suffix_array(names):
     import numpy as np
