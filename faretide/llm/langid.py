@@ -145,7 +145,8 @@ class Network:
         """(steps, segments, languages): this side's part of the logits. Segments are sorted by size, longest first."""
         h, longest = self.hidden, int(size[0])
         state = np.zeros((len(start), h), np.float32)
-        out = np.empty((longest, len(start), len(self.langs)), np.float32)
+        # Zeros: a segment shorter than the longest fills its first rows only, and whatever else lay there would spread.
+        out = np.zeros((longest, len(start), len(self.langs)), np.float32)
         table, gates_by, state_by, out_by = (self.p[f"{side}_{k}"] for k in ("in", "gates", "state", "out"))
         active = np.searchsorted(-size, -np.arange(1, longest + 1), side="right")
         for t in range(longest):

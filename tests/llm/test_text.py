@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from faretide.llm import decontaminate, langid, licenses, quality_lines, url_rules
+from faretide.llm import decontaminate, langid, licenses, quality_lines, superkmer_dedup, url_rules
 from faretide.llm import sentencepiece_viterbi as sp
 from tests.llm import brute
 from tests.llm.conftest import ODD
@@ -60,6 +60,36 @@ def test_labels_are_those_of_training():
     assert means.shape == (2, 2) and abs(means[0].sum() - 1) < 1e-5 and votes[1].sum() == 0
 
 
+def test_short_segments_read_no_foreign_memory(monkeypatch):
+    """Whatever np.empty finds in memory, short and long texts of a batch get the same probabilities."""
+    network = langid.Network(["a", "b", "c"], 4, seed=5).single()
+    data = np.frombuffer(b"x" * 300 + b"short" + b"some more bytes, of another length" * 3, np.uint8)
+    bounds = np.array([0, 300, 305, 305, len(data)])
+    want = network.documents(data, bounds, 128)
+    plain = np.empty
+
+    def poisoned(shape, dtype=float, **how):
+        out = plain(shape, dtype, **how)
+        if np.issubdtype(out.dtype, np.floating):
+            out.fill(np.nan)
+        return out
+
+    monkeypatch.setattr(np, "empty", poisoned)
+    got = network.documents(data, bounds, 128)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want)) and abs(got[0][[0, 1, 3]].sum() - 3) < 1e-4
+
+
+def test_language_at_default_parameters(spark):
+    """Held-out accuracy, in a session whose Python workers have done other work before."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    superkmer_dedup.dedup_passages(docs, keep_text=False).count()
+    told = langid.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    rows = told.where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").select("lang", "lang_pred", "score").collect()
+    right = sum(r.lang == r.lang_pred for r in rows)
+    assert len(rows) > 200 and right >= 0.98 * len(rows)
+    assert all(0 < r.score < 1 for r in rows)
+
+
 def test_language(spark, documents, odd, empty):
     told = langid.language_report(documents, per_lang=60, steps=80)
     both = told.join(documents.select("doc_id", "lang"), "doc_id").where("held_out").collect()
