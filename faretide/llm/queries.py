@@ -14,11 +14,13 @@ from faretide.llm import (
     licenses,
     line_dedup,
     minhash_forest,
+    norm_buckets,
     quality_lines,
     sentencepiece_viterbi,
     suffix_dedup,
     superkmer_dedup,
     url_rules,
+    vector_codes,
 )
 
 #: The piece file; read on the driver only.
@@ -93,3 +95,13 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.language_report(table(spark, folder, "documents")).drop("shares")
+
+
+@query(norm_buckets.REPORT_SQL)
+def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return norm_buckets.top_k(table(spark, folder, "embeddings"))
+
+
+@query(vector_codes.REPORT_SQL)
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
