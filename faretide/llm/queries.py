@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faretide.llm import (
     common,
+    conversation_trie,
     decontaminate,
     langid,
     licenses,
@@ -105,3 +106,8 @@ def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
 @query(vector_codes.REPORT_SQL)
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+@query(conversation_trie.REPORT_SQL)
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.node_report(table(spark, folder, "conversations"))
