@@ -30,9 +30,10 @@ def units(value: Column, decimals: int) -> Column:
     return F.rint(finite(value).cast("double") * 10**decimals).cast("bigint")
 
 
-def exact_sum(value: Column, decimals: int = MONEY) -> Column:
-    """The sum of the values, each rounded to ``decimals``."""
-    return F.sum(units(value, decimals)) / F.lit(10.0**decimals)
+def exact_sum(value: Column, decimals: int = MONEY, weight: Column | None = None) -> Column:
+    """The sum of the values, each rounded to ``decimals``, and times a whole ``weight`` if there is one."""
+    whole = units(value, decimals)
+    return F.sum(whole if weight is None else whole * weight) / F.lit(10.0**decimals)
 
 
 def value_count(value: Column) -> Column:

@@ -1,6 +1,6 @@
 """Change envelopes ``{"op", "before", "after", "ts_ms"}`` to typed rows.
 
-A raw frame has a string column ``value`` and may have ``offset`` (position in its source).
+A raw frame has a string column ``value`` and may have ``partition``, ``offset`` and ``timestamp`` (position in its source).
 Each record is parsed once, into texts: a column is found under any of its spellings (JSON names
 are case-sensitive), and a bad number spoils only its own column.
 """
@@ -20,9 +20,13 @@ from faretide.schemas import ChangeSpec
 UPSERT_OPS = ("c", "u", "r")  # create, update, snapshot read
 DELETE_OP = "d"
 
-# Order of changes to one key: commit time, then position in the source, then life cycle.
-# Only records without either of the first two can tie; then a delete comes last.
-ORDER = ("_ts_ms", "_offset", "_rank")
+# Order of changes to one key: position in the source's log, commit time, then position in the stream, then life cycle.
+# An offset only says something within its partition, so the partition comes first. A record without a commit time
+# counts from when the source, or else the broker, saw it. Records without any of these can tie; then a delete comes last.
+ORDER = ("_lsn", "_ts_ms", "_partition", "_offset", "_rank")
+
+#: Why a record yields no change that can be applied.
+NOT_A_CHANGE = "no change record"
 
 
 def _sides_as(names: list[str]) -> T.StructType:
@@ -44,7 +48,10 @@ def parse(raw: DataFrame, spec: ChangeSpec | None = None, *columns: Column) -> D
     A record that is cut off counts as none, whatever could be read of it.
     """
     fields = _sides_as(_spelled(spec) if spec else [])
-    envelope = schemas.struct(op=schemas.STRING, ts_ms=schemas.STRING, before=fields, after=fields, broken=schemas.STRING)
+    origin = schemas.struct(lsn=schemas.STRING, ts_ms=schemas.STRING)
+    envelope = schemas.struct(
+        op=schemas.STRING, ts_ms=schemas.STRING, source=origin, before=fields, after=fields, broken=schemas.STRING
+    )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
     parsed = raw.select(F.from_json("value", envelope, options).alias("e"), *columns)
     op = F.when(F.col("e.broken").isNull(), F.col("e.op")).alias("op")
@@ -54,7 +61,7 @@ def parse(raw: DataFrame, spec: ChangeSpec | None = None, *columns: Column) -> D
     distinct = _sides_as(_spelled(spec, "__"))
     sides = [F.col(f"e.{side}").cast(distinct).alias(side) for side in ("before", "after")]
     others = [c for c in parsed.columns if c != "e"]
-    return parsed.select(op, F.col("e.ts_ms").alias("ts_ms"), *sides, *others)
+    return parsed.select(op, F.col("e.ts_ms").alias("ts_ms"), F.col("e.source").alias("source"), *sides, *others)
 
 
 def operation_counts(raw: DataFrame) -> DataFrame:
@@ -100,14 +107,25 @@ def _column(payload: Column, spec: ChangeSpec, field: T.StructField) -> Column:
     return _typed(_text(payload, spec, field.name), field.dataType)
 
 
-def decode_changes(raw: DataFrame, spec: ChangeSpec) -> DataFrame:
+def _position(raw: DataFrame) -> list[Column]:
+    """Where in its stream a record stands; NULL for what the source does not tell."""
+
+    def given(name: str, kind: str) -> Column:
+        return (F.col(name) if name in raw.columns else F.lit(None)).cast(kind)
+
+    seen = F.unix_millis(given("timestamp", "timestamp"))
+    return [given("partition", "int").alias("_partition"), given("offset", "bigint").alias("_offset"), seen.alias("_seen_ms")]
+
+
+def decode_changes(raw: DataFrame, spec: ChangeSpec, keep_unreadable: bool = False) -> DataFrame:
     """Every change as one row: payload columns, ``_is_delete``, ``_operation`` and the order columns.
 
     An update that moves a row to another key yields two: a delete of the old key and an upsert of
-    the new one. Unknown operations, tombstones and broken records yield none.
+    the new one. Unknown operations, tombstones and broken records yield none, or with
+    ``keep_unreadable`` one row each, which has ``_is_delete`` NULL and the record in ``_record``.
     """
-    offset = F.col("offset") if "offset" in raw.columns else F.lit(None)
-    parsed = parse(raw, spec, offset.cast("bigint").alias("_offset"))
+    record = [F.col("value").alias("_record")] if keep_unreadable else []
+    parsed = parse(raw, spec, *_position(raw), *record)
     op, before, after = F.col("op"), F.col("before"), F.col("after")
     # Texts as sent: one producer writes a value the same way on both sides.
     old, new = ([_text(side, spec, name) for name in spec.key] for side in (before, after))
@@ -122,18 +140,25 @@ def decode_changes(raw: DataFrame, spec: ChangeSpec) -> DataFrame:
         .when(op.isin(*UPSERT_OPS), F.array(kept))
     )
     # explode() keeps later filters from pulling a second parse of the record below it.
-    rows = parsed.select(F.explode(sides).alias("side"), "op", "ts_ms", "_offset")
+    each = F.explode_outer if keep_unreadable else F.explode
+    extra = ["_record"] if keep_unreadable else []
+    rows = parsed.select(each(sides).alias("side"), "op", "ts_ms", "source", "_partition", "_offset", "_seen_ms", *extra)
     payload, is_delete = F.col("side.payload"), F.col("side._is_delete")
-    if spec.drop_null_payload:
+    if spec.drop_null_payload and keep_unreadable:
+        is_delete = F.when(is_delete | payload.isNotNull(), is_delete)
+    elif spec.drop_null_payload:
         rows = rows.filter(is_delete | payload.isNotNull())
     rank = F.when(op == "r", 0).when(op == "c", 1).when(is_delete, 3).otherwise(2)
     decoded = rows.select(
         *[_column(payload, spec, f).alias(f.name) for f in spec.payload.fields],
         is_delete.alias("_is_delete"),
         F.when(is_delete, DELETE_OP).otherwise(op).alias("_operation"),
-        F.col("ts_ms").try_cast("bigint").alias("_ts_ms"),
+        F.col("source.lsn").try_cast("bigint").alias("_lsn"),
+        F.coalesce(F.col("ts_ms").try_cast("bigint"), F.col("source.ts_ms").try_cast("bigint"), "_seen_ms").alias("_ts_ms"),
+        "_partition",
         "_offset",
         rank.alias("_rank"),
+        *[F.when(is_delete.isNull(), F.col(c)).alias(c) for c in extra],
     )
     return _with_times(decoded, spec.payload.fields)
 

@@ -27,7 +27,7 @@ SUMS = tuple(schemas.GOLD_SUMS.names)
 
 def report_columns(gold: DataFrame) -> DataFrame:
     """A gold table without the helper sums."""
-    return gold.drop(*SUMS)
+    return gold.drop(*SUMS, *schemas.GOLD_HOURLY_SUMS.names)
 
 
 def _stamp(processed_time: Column | None) -> Column:
@@ -71,25 +71,59 @@ def _boroughs(zones: DataFrame, key: str, name: str) -> DataFrame:
     return zones.select(F.col("LocationID").alias(key), F.col("Borough").alias(name))
 
 
-def hourly_metrics(trips: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
-    """Trips per day, hour, pickup zone and drop-off zone."""
-    rows = trips.groupBy(
-        F.to_date(filters.PICKUP).alias("metric_date"),
-        F.hour(filters.PICKUP).alias("metric_hour"),
-        "pulocationid",
-        "dolocationid",
-    ).agg(
-        *_trip_totals(),
-        measures.exact_mean(F.col("passenger_count")).alias("avg_passengers"),
-        measures.exact_sum(F.col("tip_amount")).alias("tip_sum"),
-        measures.exact_sum(F.col("tolls_amount")).alias("tolls_sum"),
-    )
-    named = _averages(rows).join(_boroughs(zones, "pulocationid", "borough"), "pulocationid", "left")
+# The sums of an hourly row: the trips' column, its decimals, and the number of values behind the sum.
+_HOURLY_SUMS = {
+    "total_revenue": ("total_amount", measures.MONEY, "revenue_count"),
+    "fare_sum": ("fare_amount", measures.MONEY, "fare_count"),
+    "distance_sum": ("trip_distance", measures.DISTANCE, "distance_count"),
+    "passenger_sum": ("passenger_count", measures.MONEY, "passenger_values"),
+    "tip_sum": ("tip_amount", measures.MONEY, "tip_count"),
+    "tolls_sum": ("tolls_amount", measures.MONEY, "tolls_count"),
+}
+_HOURLY_KEY = ("metric_date", "metric_hour", "pulocationid", "dolocationid")
+
+
+def _hourly_sums(trips: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Counts and sums per day, hour, pickup zone and drop-off zone; with ``weight`` (1 or -1) signed ones."""
+    totals = [(F.count("*") if weight is None else F.sum(weight).cast("bigint")).alias("trip_count")]
+    for name, (column, decimals, count) in _HOURLY_SUMS.items():
+        value = F.col(column)
+        known = measures.value_count(value) if weight is None else F.sum(F.when(measures.finite(value).isNotNull(), weight)).cast("bigint")
+        totals += [measures.exact_sum(value, decimals, weight).alias(name), known.alias(count)]
+    day, hour = F.to_date(filters.PICKUP).alias("metric_date"), F.hour(filters.PICKUP).alias("metric_hour")
+    return trips.groupBy(day, hour, "pulocationid", "dolocationid").agg(*totals)
+
+
+def _hourly_rows(sums: DataFrame, zones: DataFrame, processed_time: Column | None) -> DataFrame:
+    named = _averages(sums).join(_boroughs(zones, "pulocationid", "borough"), "pulocationid", "left")
     return named.withColumns(
-        {"peak_hour": labels.peak_hour(F.col("metric_hour")), "processed_time": _stamp(processed_time)}
+        {
+            "avg_passengers": measures.ratio(F.col("passenger_sum"), F.col("passenger_values")),
+            "peak_hour": labels.peak_hour(F.col("metric_hour")),
+            "processed_time": _stamp(processed_time),
+        }
     ).select(*schemas.GOLD_HOURLY.schema.names)
 
 
+def hourly_metrics(trips: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
+    """Trips per day, hour, pickup zone and drop-off zone."""
+    return _hourly_rows(_hourly_sums(trips), zones, processed_time)
+
+
+def add_images(hourly: DataFrame, images: DataFrame, zones: DataFrame, processed_time: Column | None = None) -> DataFrame:
+    """Hourly rows after changes: ``images`` are trips with ``_weight`` -1 for an old version of a row, 1 for a new one.
+
+    Sums are whole units of a measure's last decimal, so the result is that of summing up all live trips. Rows without trips go.
+    """
+    counts = ("trip_count", *(count for _, _, count in _HOURLY_SUMS.values()))
+    both = hourly.select(*_HOURLY_KEY, *_HOURLY_SUMS, *counts).unionByName(_hourly_sums(images, F.col("_weight")))
+    sums = [measures.exact_sum(F.col(name), decimals).alias(name) for name, (_, decimals, _) in _HOURLY_SUMS.items()]
+    rows = both.groupBy(*_HOURLY_KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counts], *sums)
+    rows = rows.filter("trip_count > 0")
+    rows = rows.withColumns({name: F.when(F.col(count) > 0, F.col(name)) for name, (_, _, count) in _HOURLY_SUMS.items()})
+    return _hourly_rows(rows, zones, processed_time)
+
+
 _REDUCED = ("trip_count", "total_revenue", *SUMS)
 
 
@@ -183,25 +217,58 @@ def borough_summary_from_daily(daily: DataFrame, zones: DataFrame, processed_tim
     )
 
 
-def refresh(lake, silver: DataFrame, zones: DataFrame, dates: Sequence[date | None] | None = None) -> None:
-    """Bring the stored gold tables up to date with silver.
+TABLES = (schemas.GOLD_HOURLY, schemas.GOLD_ZONE_DAILY, schemas.GOLD_BOROUGH, schemas.GOLD_ZONE)
+
+
+def version(lake, *of: schemas.TableSpec) -> int:
+    """The version of silver that the gold tables, or some of them, hold: the oldest, where a refresh died half way."""
+    return min(int(lake.snapshot(table).marks.get("silver", 0)) for table in of or TABLES)
+
+
+def refresh(
+    lake, silver: DataFrame, zones: DataFrame, dates: Sequence[date | None] | None = None, version: int | None = None
+) -> None:
+    """Bring the stored gold tables up to date with silver, which is ``version`` of its table.
 
     With ``dates``, the pickup days that changed, only those days of silver are read, and of the
     tables split by day only those days are replaced, days that ran empty included. Without,
     everything is. ``silver`` has the stored ``row_date`` column.
     """
-    hourly_table, daily_table = schemas.GOLD_HOURLY, schemas.GOLD_ZONE_DAILY
-    if dates is None:
-        changed, scope = silver, lake.partition_values(hourly_table)
-    else:
-        changed, scope = silver.filter(F.col("row_date").isin(*dates)), [str(d) for d in dates]
-
-    lake.replace_partitions(hourly_metrics(changed, zones), hourly_table, scope)
-    lake.replace_partitions(zone_daily(lake.read(hourly_table, dates)), daily_table, scope)
-    daily = lake.read(daily_table, dates)
-    lake.replace_partitions(borough_summary_from_daily(daily, zones), schemas.GOLD_BOROUGH, scope)
-    lake.replace_partitions(
-        zone_performance_from_daily(lake.read(daily_table), zones),
-        schemas.GOLD_ZONE,
-        lake.partition_values(schemas.GOLD_ZONE),
-    )
+    marks = None if version is None else {"silver": version}
+    changed = silver if dates is None else silver.filter(F.col("row_date").isin(*dates))
+    scope = lake.partition_values(schemas.GOLD_HOURLY) if dates is None else list(dates)
+    lake.replace_partitions(hourly_metrics(changed, zones), schemas.GOLD_HOURLY, scope, marks)
+    _form_followers(lake, zones, dates, scope, marks)
+
+
+def apply_images(lake, images: DataFrame, zones: DataFrame, days: Sequence[date | str], version: int) -> None:
+    """Add the images of all silver rows that changed up to ``version``; ``days`` are their pickup days.
+
+    Of silver nothing else is read, and of gold the hourly rows of those days. The hourly table notes the version with the
+    sums, so nothing is added twice; the tables formed from it may be formed again.
+    """
+    marks = {"silver": version}
+    if not days:
+        for table in TABLES:
+            lake.commit(table, marks)
+        return
+    if _behind(lake, schemas.GOLD_HOURLY, version):
+        hourly = lake.read(schemas.GOLD_HOURLY, days)
+        lake.replace_partitions(add_images(hourly, images, zones), schemas.GOLD_HOURLY, days, marks)
+    _form_followers(lake, zones, days, days, marks)
+
+
+def _behind(lake, table: schemas.TableSpec, version: int) -> bool:
+    return int(lake.snapshot(table).marks.get("silver", 0)) < version
+
+
+def _form_followers(lake, zones: DataFrame, dates, scope: Sequence[date | str | None], marks) -> None:
+    """The tables formed from hourly rows: per day from the days given, the all-time one from the daily rows of all days."""
+    daily = zone_daily(lake.read(schemas.GOLD_HOURLY, dates)).persist()
+    try:
+        lake.replace_partitions(daily, schemas.GOLD_ZONE_DAILY, scope, marks)
+        lake.replace_partitions(borough_summary_from_daily(daily, zones), schemas.GOLD_BOROUGH, scope, marks)
+        every = daily if dates is None else lake.read(schemas.GOLD_ZONE_DAILY)
+        lake.reload(zone_performance_from_daily(every, zones), schemas.GOLD_ZONE, marks)
+    finally:
+        daily.unpersist()

@@ -66,12 +66,16 @@ ZONE_KEY = ("LocationID",)
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table: its columns, and which of them split it into directories."""
+    """A stored table: its columns, and which of them split it into directories.
+
+    ``only`` makes it a view of the directories with that last name, e.g. ``_kind=live``.
+    """
 
     name: str
     schema: T.StructType
     partitions: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
+    only: str | None = None
 
 
 PARTITION_COLUMNS = {
@@ -150,6 +154,10 @@ LIVE_ZONE_CHANGES = ChangeSpec(
 
 # Sums kept beside the averages of a gold row, so that coarser averages can be formed exactly.
 GOLD_SUMS = struct(fare_sum=DOUBLE, fare_count=LONG, distance_sum=DOUBLE, distance_count=LONG)
+# Of the hourly rows also: what it takes to add changes to every figure of a stored row.
+GOLD_HOURLY_SUMS = struct(
+    revenue_count=LONG, passenger_sum=DOUBLE, passenger_values=LONG, tip_count=LONG, tolls_count=LONG
+)
 
 
 def plus(*parts: T.StructType) -> T.StructType:
@@ -176,6 +184,7 @@ GOLD_HOURLY = TableSpec(
             processed_time=INSTANT,
         ),
         GOLD_SUMS,
+        GOLD_HOURLY_SUMS,
     ),
     partitions=("metric_date",),
     sort_by=("metric_hour", "pulocationid"),

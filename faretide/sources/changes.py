@@ -1,4 +1,7 @@
-"""Change-stream sources. Every one gives a string column ``value`` and a position ``offset``."""
+"""Change-stream sources. Every one gives a string column ``value`` and its position: ``partition``, ``offset``, ``timestamp``.
+
+Offsets count within a partition only. ``timestamp`` is when the broker got the record. Files have none of these.
+"""
 
 from __future__ import annotations
 
@@ -17,8 +20,9 @@ KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 
 
 def _named(df: DataFrame) -> DataFrame:
-    offset = F.col("offset") if "offset" in df.columns else F.lit(None).cast("bigint")
-    return df.select(F.col("value").cast("string").alias("value"), offset.alias("offset"))
+    kinds = {"partition": "int", "offset": "bigint", "timestamp": "timestamp"}
+    position = [(F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
+    return df.select(F.col("value").cast("string").alias("value"), *position)
 
 
 def kafka_options(topic: str, servers: str, max_records: int | None = None) -> dict[str, str]:
