@@ -276,6 +276,22 @@ def stored_upsert(spark, d):
     return lake.read(STORED)
 
 
+@query(
+    """
+SELECT event_id AS x, CAST(CASE WHEN event_id % 10 = 0 AND day(tpep_pickup_datetime) <= 9
+    THEN tpep_pickup_datetime + INTERVAL 12 DAY ELSE tpep_pickup_datetime END AS DATE) AS day,
+  CASE WHEN event_id % 10 = 0 AND day(tpep_pickup_datetime) <= 9 THEN -1 ELSE total_amount END AS total
+FROM trips WHERE event_id % 10 <> 1
+"""
+)
+def stored_upsert_moves(spark, d):
+    """Upserts of rows that lie in another partition now, and deletes that name keys alone."""
+    lake, rows = _stored(spark, d, "moves")
+    moved = rows.where("x % 10 = 0 AND day(day) <= 9").select("x", F.date_add("day", 12).alias("day"), F.lit(-1.0).alias("total"))
+    lake.merge(STORED, moved, ["x"], ["total"], deletes=rows.where("x % 10 = 1").select("x"))
+    return lake.read(STORED)
+
+
 @query(
     """
 SELECT event_id AS x, CAST(tpep_pickup_datetime AS DATE) AS day, total_amount AS total FROM trips
