@@ -182,6 +182,31 @@ def _tiered(spark, d, lake):
     return files.tiered(from_gold, lambda: series.time_series(v.trips(spark, d), "revenue", "hour"))
 
 
+@query(
+    f"""
+SELECT strftime(date_trunc('hour', tpep_pickup_datetime), '%Y-%m-%dT%H:%M:%SZ') AS timestamps,
+  {money('total_amount')} AS "values", 'revenue' AS metric_name, 'USD' AS unit, 'hour' AS "interval",
+  'base' AS data_source
+FROM trips GROUP BY 1
+"""
+)
+def tiered_source_corrupt(spark, d):
+    """The gold table is there, but a file of it cannot be read; that shows while the report runs."""
+    lake = Lake(spark, work_folder(spark, "corrupt"))
+    lake.replace_partitions(gold.hourly_metrics(v.trips(spark, d), v.zones(spark, d)), GOLD_HOURLY)
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(lake.read(GOLD_HOURLY).inputFiles()[0])
+    out = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(file, True)
+    out.write(bytearray(b"no parquet file at all"))
+    out.close()
+    return _tiered(spark, d, lake)
+
+
+@query(f"SELECT COUNT(DISTINCT pulocationid) AS active_zones FROM trips WHERE {IN_RANGE}")
+def active_zones_from_gold(spark, d):
+    daily = gold.zone_daily(gold.hourly_metrics(v.trips(spark, d), v.zones(spark, d)))
+    return overview.active_zones_from_gold(daily, START, END)
+
+
 @query(
     f"""
 SELECT strftime(date_trunc('hour', tpep_pickup_datetime), '%Y-%m-%dT%H:%M:%SZ') AS timestamps,

@@ -13,7 +13,7 @@ from faretide.operators import filters
 from faretide.plans import activity, overview, series, trips, zones
 from faretide.plans import weather as weather_plans
 from faretide.sources import files
-from faretide.sources.tables import work_folder
+from faretide.sources.tables import Lake, work_folder
 
 NAME = "CASE WHEN Zone IS NULL OR Zone = '' THEN 'Zone ' || pulocationid ELSE Zone END"
 
@@ -321,6 +321,33 @@ def paginate_trips(spark, d):
     return trips.paginate(rows, 3, 50, [filters.PICKUP, "event_id"])
 
 
+@query(
+    """
+SELECT event_id, tpep_pickup_datetime, fare_amount, (SELECT COUNT(*) FROM trips) AS total_count,
+  CAST(7 AS INT) AS page, CAST(90 AS INT) AS page_size,
+  CAST(ceil((SELECT COUNT(*) FROM trips) / 90.0) AS BIGINT) AS total_pages
+FROM trips ORDER BY tpep_pickup_datetime, event_id LIMIT 90 OFFSET 540
+"""
+)
+def stored_page(spark, d):
+    """A page by its number from ranges of 400 rows, so that it lies across two of them."""
+    rows = v.trips(spark, d, "event_id").select("event_id", filters.PICKUP, "fare_amount")
+    lake = Lake(spark, work_folder(spark, "pages"))
+    return trips.Pages.store(rows, lake, "trip_pages", [filters.PICKUP, "event_id"], 400).page(7, 90)
+
+
+@query(
+    """
+SELECT event_id, tpep_pickup_datetime, fare_amount FROM trips ORDER BY tpep_pickup_datetime, event_id LIMIT 50 OFFSET 50
+"""
+)
+def page_after_cursor(spark, d):
+    """The second page, behind the last row of the first."""
+    rows, order = v.trips(spark, d, "event_id").select("event_id", filters.PICKUP, "fare_amount"), [filters.PICKUP, "event_id"]
+    last = trips.page_after(rows, 50, order).collect()[-1]
+    return trips.page_after(rows, 50, order, [last[c] for c in order])
+
+
 @query(
     f"""
 SELECT t.* EXCLUDE (event_id) FROM trips t JOIN zones ON pulocationid = LocationID

@@ -15,11 +15,15 @@ def borough_label(name: Column) -> Column:
     return F.when(name.isNull() | (name == ""), F.lit("Unknown")).otherwise(name)
 
 
+#: The bucket of an hour without a weather row.
+NO_WEATHER = "No Weather Data"
+
+
 def weather_condition(time: Column, precipitation: Column, temperature: Column) -> Column:
     """Weather bucket of an hour; the first rule that holds wins."""
     # The thresholds and labels.
     return (
-        F.when(time.isNull(), "No Weather Data")
+        F.when(time.isNull(), NO_WEATHER)
         .when(precipitation > 5, "Rainy")
         .when(precipitation > 0, "Light Rain")
         .when(temperature < 0, "Cold")

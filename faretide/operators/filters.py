@@ -107,6 +107,19 @@ def clamp_range(start: Day, end: Day, max_days: int) -> tuple[date | None, date
     return first, last, False
 
 
+def weather_window(weather: DataFrame, start: Day = None, end: Day = None, hours_back: int | None = None, as_of=None) -> DataFrame:
+    """Weather of all hours that :func:`window` takes trips of, and of an hour before and after, so that no hour is cut."""
+    if hours_back:
+        return window(weather, hours_back=hours_back + 1, as_of=as_of, column="time")
+    first = clock.back(clock.moment(str(start)), hours=1) if start not in (None, "") else None
+    last = None
+    if end not in (None, ""):
+        last = clock.moment(str(end) if has_time(end) else f"{as_day(end)} 23:59:59") + F.expr("INTERVAL 1 HOUR")
+    kept = weather if first is None else weather.filter(F.col("time") >= first)
+    kept = kept if last is None else kept.filter(F.col("time") <= last)
+    return prune(kept, "time", *[None if x is None else F.to_date(x) for x in (first, last)])
+
+
 def hourly_weather(weather: DataFrame) -> DataFrame:
     """One weather row per hour, the latest one, keyed by ``weather_day`` and ``weather_hour``."""
     keyed = weather.filter(F.col("time").isNotNull()).withColumns(
@@ -141,10 +154,12 @@ def analytics_filter(
         inside = zones.filter(F.col("Borough") == borough).select(F.col("LocationID").alias("pulocationid"))
         kept = kept.join(inside, "pulocationid", "left_semi")
     if weather_conditions is not None:
-        hours = hourly_weather(weather).select(
-            "weather_day", "weather_hour", F.col("time").alias("w_time"), "precipitation", "temperature"
-        )
-        condition = labels.weather_condition(F.col("w_time"), F.col("precipitation"), F.col("temperature"))
+        # Hours are judged before the join, so no trip is joined that does not stay: trips of an hour that is asked
+        # for, or, where hours without weather are asked for, all but those of the other hours.
+        hours = hourly_weather(weather_window(weather, start, end))
+        condition = labels.weather_condition(F.col("time"), F.col("precipitation"), F.col("temperature"))
+        wanted, unknown = condition.isin(*weather_conditions), labels.NO_WEATHER in weather_conditions
+        hours = hours.filter(~wanted if unknown else wanted).select("weather_day", "weather_hour")
         same_hour = (F.to_date(PICKUP) == F.col("weather_day")) & (F.hour(PICKUP) == F.col("weather_hour"))
-        kept = kept.join(hours, same_hour, "left").filter(condition.isin(*weather_conditions))
+        kept = kept.join(hours, same_hour, "left_anti" if unknown else "left_semi")
     return kept.select(*trips.columns)

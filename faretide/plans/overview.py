@@ -111,12 +111,18 @@ def active_zones(
     return kept.agg(count("pulocationid").alias("active_zones"))
 
 
+def active_zones_from_gold(zone_daily: DataFrame, start=None, end=None) -> DataFrame:
+    """Number of distinct pickup zones of a range of days, exactly, from the daily gold rows (one a day and zone)."""
+    kept = zone_daily.filter(filters.days("metric_date", start, end)).filter("trip_count > 0")
+    return kept.agg(F.countDistinct("zone_id").alias("active_zones"))
+
+
 def stats_from_gold(
-    borough_gold: DataFrame, zone_gold: DataFrame, start=None, end=None, k: int = TOP_K
+    borough_gold: DataFrame, zone_gold: DataFrame, start=None, end=None, k: int = TOP_K, zone_daily: DataFrame | None = None
 ) -> DataFrame:
-    """Headline statistics from gold tables. Only the totals follow the dates.
+    """Headline statistics from gold tables. Only the totals follow the dates, and with ``zone_daily`` the active zones.
 
-    The mean fare weighs every trip the same (a mean of daily means would not).
+    The mean fare weighs every trip the same (a mean of daily means would not). The zone table, one row a zone, is read once.
     """
     totals = borough_gold.filter(filters.days("metric_date", start, end)).agg(
         F.coalesce(F.sum("total_trips"), F.lit(0)).alias("total_trips"),
@@ -125,21 +131,25 @@ def stats_from_gold(
             "avg_fare"
         ),
     )
-    active = zone_gold.agg(F.countDistinct("zone_id").alias("active_zones")).scalar()
-    head = zone_gold.orderBy(F.desc_nulls_last("total_trips"), "zone_id").limit(k)
+    order = Window.partitionBy(F.pmod(F.hash("zone_id"), F.lit(BUCKETS))).orderBy(F.desc_nulls_last("total_trips"), "zone_id")
     entry = F.struct(
+        F.col("total_trips").isNull().alias("without"),
         (-F.coalesce("total_trips", F.lit(0))).alias("order"),
         "zone_id",
         "zone_name",
         F.col("total_trips").alias("trips"),
         F.col("total_revenue").alias("revenue"),
     )
-    listed = head.agg(
-        F.transform(
-            F.sort_array(F.collect_list(entry)), lambda z: F.struct(z.zone_name, z.trips, z.revenue)
-        ).alias("top_zones")
-    ).scalar()
-    return totals.withColumns({"active_zones": active, "top_zones": listed})
+    leaders = F.sort_array(F.collect_list(F.when(F.col("place") <= k, entry)))
+    listed = zone_gold.withColumn("place", F.row_number().over(order)).agg(
+        F.struct(
+            F.count("zone_id").alias("active_zones"),
+            F.transform(F.slice(leaders, 1, k), lambda z: F.struct(z.zone_name, z.trips, z.revenue)).alias("top_zones"),
+        ).alias("zones")
+    )
+    told = totals.withColumn("zones", listed.scalar())
+    active = F.col("zones.active_zones") if zone_daily is None else active_zones_from_gold(zone_daily, start, end).scalar()
+    return told.select("total_trips", "total_revenue", "avg_fare", active.alias("active_zones"), F.col("zones.top_zones").alias("top_zones"))
 
 
 def stats_with_delta(trips: DataFrame, start, end) -> DataFrame:

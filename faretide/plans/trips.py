@@ -1,12 +1,24 @@
-"""Single trips: newest first, page by page, exported."""
+"""Single trips: newest first, page by page, exported.
+
+Pages come in three ways. ``paginate`` skips rows, which costs as much as reading all pages before: for the first few pages.
+``page_after`` goes on behind the last row of a page, in one pass that keeps ``page_size`` rows a task, whatever the page.
+``Pages`` reads any page by its number: rows are stored once in ranges of the order with their counts, and a page reads the
+one or two ranges it lies in.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faretide.operators import filters, params
+from faretide.schemas import TableSpec
 from faretide.sources import files
+from faretide.sources.tables import Lake
 
 # Stored column to the name shown.
 RECENT_COLUMNS = {
@@ -69,3 +81,67 @@ def paginate(df: DataFrame, page: int, page_size: int, order_by: list[str | Colu
             "total_pages": F.ceil(total / F.lit(float(page_size))).cast("bigint"),
         }
     )
+
+
+def page_after(df: DataFrame, page_size: int, order_by: Sequence[str], after: Sequence[object] | None = None) -> DataFrame:
+    """The next ``page_size`` rows behind the row whose ``order_by`` columns are ``after``; the first ones without.
+
+    The columns must tell every two rows apart. They ascend, and NULL comes first.
+    """
+    if page_size < 1:
+        raise ValueError("page_size starts at 1")
+    kept = df
+    if after is not None:
+        if len(after) != len(order_by):
+            raise ValueError("the cursor needs a value for every column of the order")
+        behind, same = F.lit(False), F.lit(True)
+        for name, value in zip(order_by, after):
+            column, bound = F.col(name), F.lit(value).cast(df.schema[name].dataType)
+            greater = column.isNotNull() if value is None else column > bound
+            behind, same = behind | (same & greater), same & column.eqNullSafe(bound)
+        kept = kept.filter(behind)
+        if after[0] is not None:  # implied, and a bound that reaches the scan
+            kept = kept.filter(F.col(order_by[0]) >= F.lit(after[0]).cast(df.schema[order_by[0]].dataType))
+    return kept.orderBy(*order_by).limit(page_size)
+
+
+@dataclass(frozen=True)
+class Pages:
+    """Rows stored in ranges of a total order. ``counts``: the rows of each range, a number for every ``rows_per_range`` rows."""
+
+    lake: Lake
+    table: TableSpec
+    order_by: tuple[str, ...]
+    counts: tuple[int, ...]
+
+    @classmethod
+    def store(cls, df: DataFrame, lake: Lake, name: str, order_by: Sequence[str], rows_per_range: int = 1_000_000) -> Pages:
+        """Sort ``df`` into ranges and store them as table ``name``."""
+        ranges = max(1, -(-df.count() // rows_per_range))
+        schema = T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])
+        table = TableSpec(name, schema, ("_range",), tuple(order_by))
+        dealt = df.repartitionByRange(ranges, *order_by).withColumn("_range", F.spark_partition_id())
+        lake.reload(dealt, table)
+        found = {r["_range"]: r["n"] for r in lake.read(table).groupBy("_range").agg(F.count("*").alias("n")).collect()}
+        return cls(lake, table, tuple(order_by), tuple(found.get(i, 0) for i in range(ranges)))
+
+    def page(self, page: int, page_size: int) -> DataFrame:
+        """One page, with the number of rows and pages beside every row."""
+        if page < 1 or page_size < 1:
+            raise ValueError("page and page_size start at 1")
+        first, last = (page - 1) * page_size, page * page_size
+        before, wanted, total = {}, [], 0
+        for number, count in enumerate(self.counts):
+            if count and total < last and total + count > first:
+                wanted.append(number)
+                before[number] = total
+            total += count
+        rows = self.lake.read(self.table, wanted)
+        ahead = F.lit(0)
+        for number in wanted:
+            ahead = F.when(F.col("_range") == number, before[number] - first - 1).otherwise(ahead)
+        place = F.row_number().over(Window.partitionBy("_range").orderBy(*self.order_by)) + ahead
+        rows = rows.withColumn("_place", place).filter(F.col("_place").between(0, page_size - 1))
+        facts = {"total_count": F.lit(total).cast("bigint"), "page": F.lit(page), "page_size": F.lit(page_size)}
+        facts["total_pages"] = F.lit(-(-total // page_size)).cast("bigint")
+        return rows.orderBy("_place").drop("_range", "_place").withColumns(facts)

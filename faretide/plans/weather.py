@@ -26,7 +26,8 @@ def weather_impact(
     """
     params.between("hours_back", hours_back, params.WEATHER_HOURS)
     dated = start not in (None, "") or end not in (None, "")
-    kept = filters.window(trips, start, end, None if dated else hours_back, as_of)
+    back = None if dated else hours_back
+    kept = filters.window(trips, start, end, back, as_of)
     hourly = kept.groupBy(F.to_date(filters.PICKUP).alias("date"), F.hour(filters.PICKUP).alias("clock_hour")).agg(
         F.count("*").alias("trips"),
         measures.rounded(measures.exact_mean(F.col("fare_amount")), 2).alias("avg_fare"),
@@ -41,7 +42,7 @@ def weather_impact(
             }
         )
     else:
-        hours = filters.hourly_weather(weather).select(
+        hours = filters.hourly_weather(filters.weather_window(weather, start, end, back, as_of)).select(
             F.col("weather_day").alias("date"),
             F.col("weather_hour").alias("clock_hour"),
             F.col("time").alias("w_time"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretide import schemas
 from faretide.operators import params
+from faretide.sources.tables import checkpoints
 
 
 def read_zones_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -61,16 +64,16 @@ def read_export(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
 
 
 def tiered(gold, base, gold_label: str = "gold", base_label: str = "base") -> DataFrame:
-    """The first of two sources that can be planned, with its name in ``data_source``.
+    """The result of the first of two sources that gives one, with its name in ``data_source``.
 
-    ``gold`` and ``base`` are functions giving a DataFrame; a missing table or column shows when
-    the plan is analysed, before any work is done.
+    ``gold`` and ``base`` are functions giving a DataFrame. The gold attempt is run to its end and its result, a report, is
+    kept under the checkpoint folder. So whatever makes it fail leads to the base source: a missing table or column,
+    a data file that is gone, a footer that cannot be read.
     """
-    from pyspark.errors import AnalysisException
-
     try:
-        df, label = gold(), gold_label
-        df.schema
-    except AnalysisException:
+        df = gold()
+        checkpoints(df.sparkSession)
+        df, label = df.checkpoint(), gold_label
+    except (PySparkException, Py4JJavaError):
         df, label = base(), base_label
     return df.withColumn("data_source", F.lit(label))

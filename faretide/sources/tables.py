@@ -28,8 +28,8 @@ from faretide.sources.versions import FOLDER, Conflict, Snapshot, Version, Versi
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def checkpoints(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
     Where the session names none, local mode gets a folder of this machine, which its one process sees; elsewhere
     every node would write to its own disk, so that is an error.
@@ -39,9 +39,15 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='faretide-')}")
-        shared = context.getCheckpointDir()
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        shared = f"file://{tempfile.mkdtemp(prefix='faretide-')}"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared)
+    return shared
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder under the checkpoint folder."""
+    return f"{checkpoints(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,10 @@
-from faretide.plans import activity, overview, series, trips as trip_plans, weather as weather_plans, zones as zone_plans
+import pytest
+from pyspark.sql import functions as F
+
+from faretide import schemas
+from faretide.operators import filters
+from faretide.plans import activity, gold, overview, series, trips as trip_plans, weather as weather_plans, zones as zone_plans
+from faretide.schemas import TableSpec
 from tests.helpers import dicts, trips, weather, zones
 
 
@@ -124,3 +130,67 @@ def test_pages_cover_all_rows_once(spark):
     pages = [dicts(trip_plans.paginate(t.select("fare_amount"), p, 3, ["fare_amount"])) for p in (1, 2, 3, 4)]
     assert [[r["fare_amount"] for r in page] for page in pages] == [[0, 1, 2], [3, 4, 5], [6], []]
     assert {(r["total_count"], r["total_pages"]) for page in pages for r in page} == {(7, 3)}
+
+
+def test_page_by_number_reads_its_ranges_only(spark, lake):
+    rows = spark.range(1000).selectExpr("CAST(id % 7 AS INT) AS a", "id AS b", "CAST(id AS STRING) AS c")
+    stored = trip_plans.Pages.store(rows, lake, "paged", ["a", "b"], rows_per_range=100)
+    assert sum(stored.counts) == 1000 and len(stored.counts) == 10
+    want = [(r["a"], r["b"]) for r in rows.orderBy("a", "b").collect()]
+    for page, size in ((1, 30), (4, 30), (33, 30), (34, 30), (35, 30), (1, 1000), (2, 450), (10, 100)):
+        got = dicts(stored.page(page, size))
+        assert [(r["a"], r["b"]) for r in got] == want[(page - 1) * size : page * size]
+        assert all((r["total_count"], r["total_pages"]) == (1000, -(-1000 // size)) for r in got)
+    last = stored.page(33, 30)
+    assert len(last.inputFiles()) <= 4 and "Offset" not in last._jdf.queryExecution().toString()
+    empty = trip_plans.Pages.store(rows.limit(0), lake, "none", ["a", "b"])
+    assert dicts(empty.page(1, 10)) == []
+
+
+def test_pages_behind_a_cursor(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 4 else None, i) for i in range(20)], "a int, b int")
+    want, got, after = [(r["a"], r["b"]) for r in rows.orderBy("a", "b").collect()], [], None
+    while True:
+        page = [(r["a"], r["b"]) for r in dicts(trip_plans.page_after(rows, 6, ["a", "b"], after))]
+        if not page:
+            break
+        got, after = got + page, page[-1]
+    assert got == want
+    plan = trip_plans.page_after(rows, 6, ["a", "b"], (1, 7))._jdf.queryExecution().toString()
+    assert "Offset" not in plan and "TakeOrderedAndProject" in plan
+    with pytest.raises(ValueError):
+        trip_plans.page_after(rows, 6, ["a", "b"], (1,))
+
+
+@pytest.mark.parametrize("asked", [["Clear"], ["Rainy", "No Weather Data"], ["No Weather Data"], []])
+def test_weather_filter_keeps_what_a_join_of_all_hours_would(spark, asked):
+    t = trips(spark, *[{"pickup": f"2024-03-01 {h:02d}:{m:02d}:00"} for h in range(6) for m in (0, 59)], {"pickup": "2024-03-02 05:10:00"})
+    w = weather(spark, *[(f"2024-03-01 {h:02d}:30:00", 20.0, 9.0 if h % 2 else 0.0, 50.0) for h in range(5)], ("2024-02-01 00:00:00", 1.0, 0.0, 1.0))
+    kept = filters.analytics_filter(t, weather=w, weather_conditions=asked, start="2024-03-01 00:30:00", end="2024-03-01 05:59:00")
+    label = lambda h: "No Weather Data" if h == 5 else "Rainy" if h % 2 else "Clear"
+    want = [(h, m) for h in range(6) for m in (0, 59) if (h, m) >= (0, 30) and label(h) in asked]
+    got = sorted((r["tpep_pickup_datetime"].hour, r["tpep_pickup_datetime"].minute) for r in dicts(kept))
+    assert got == want
+
+
+def test_weather_side_is_bounded_like_the_trips(spark, lake):
+    """A report of one day reads the weather of its month, and of that the day's hours."""
+    stored = TableSpec("hours", schemas.plus(schemas.WEATHER, schemas.struct(row_month=schemas.STRING)), ("row_month",))
+    rows = weather(spark, *[(f"2024-{m:02d}-15 08:00:00", 20.0, 0.0, 50.0) for m in range(1, 13)])
+    lake.reload(rows.withColumn("row_month", F.date_format("time", "yyyyMM")), stored)
+    t = trips(spark, {"pickup": "2024-03-15 08:10:00"})
+    report = weather_plans.weather_impact(t, lake.read(stored), "2024-03-15", "2024-03-15")
+    assert [(r["weather_condition"], r["trips"]) for r in dicts(report)] == [("Clear", 1)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "row_month" in plan and "PushedFilters: [IsNotNull(time), GreaterThanOrEqual(time" in plan
+
+
+def test_active_zones_of_days_from_gold(spark):
+    t = trips(spark, {"pulocationid": 1}, {"pulocationid": 2, "pickup": "2024-03-02 01:00:00"}, {"pulocationid": 1, "pickup": "2024-03-03 01:00:00"}, {"pulocationid": None})
+    daily = gold.zone_daily(t)
+    for start, end in ((None, None), ("2024-03-01", "2024-03-01"), ("2024-03-02", "2024-03-03"), ("2024-04-01", None)):
+        want = dicts(overview.active_zones(t, start, end))
+        assert dicts(overview.active_zones_from_gold(daily, start, end)) == want
+    z = zones(spark)
+    [row] = dicts(overview.stats_from_gold(gold.borough_summary(t, z), gold.zone_performance(t, z), "2024-03-02", "2024-03-02", zone_daily=daily))
+    assert row["active_zones"] == 1 and [x["zone_name"] for x in row["top_zones"]][:2] == ["Astoria", None]
