@@ -19,13 +19,15 @@ a region are proposed or compared, however crowded it is: a pair at the limit of
 4 with a chance of five in a million, and no other pair is missed more often.
 
 Sets are sets of 64-bit hashes of the words' bytes. Defined results: a null, empty or blank text has an empty set and
-no links; rows that share a doc_id are one node; null ids are one node with the largest id, shown as null; extra
-columns are ignored; an empty table gives an empty result.
+no links; rows are told apart by id and text and linked only where they are alike, whatever ids they share or lack; an id
+names the component, where a null id comes last and is shown as null; repeated rows are one node; extra columns are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -297,14 +299,12 @@ class Forest:
 
     def candidates(self) -> DataFrame:
         """(a_id, a_hash, b_id, b_hash, trees): proposed pairs and how often they were proposed."""
-        parts, rows = [], self.rows
+        parts, regions, rows = [], [], self.rows
         for level in range(self.levels):
             counts = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "n_shingles")).alias("hub"))
             counts = counts.where("c > 1").withColumn("salted", F.xxhash64("key"))
             told = common.saved(rows.withColumn("salted", F.xxhash64("key")).join(counts, ["salted", "key"]).drop("salted"))
-            small = told.where(F.col("c") <= self.region).select("key", *KEY, "n_shingles")
-            dealt = small.repartition("key").sortWithinPartitions("key", *KEY)
-            parts.append(dealt.mapInArrow(_neighbours(self.region, self.share), PAIR))
+            regions.append(told.where(F.col("c") <= self.region).select("key", *KEY, "n_shingles"))
             big = told.where(F.col("c") > self.region)
             if level == 0:
                 self.crowded = big.select("tree", "key", *KEY, "n_shingles")
@@ -317,10 +317,11 @@ class Forest:
             if level + 1 == self.levels or rest.isEmpty():
                 break
             rest = rest.join(self.classes.select(*KEY, "signature"), KEY)
-            rows = rest.mapInArrow(_deeper(self.depth, used), ROW_SQL)
-        pairs = parts[0]
-        for part in parts[1:]:
-            pairs = pairs.unionByName(part)
+            rows = common.saved(rest.mapInArrow(_deeper(self.depth, used), ROW_SQL))
+        # A region's key is a hash of its tree, depth and values, so those of all levels can be dealt out together.
+        small = reduce(DataFrame.unionByName, regions).repartition("key").sortWithinPartitions("key", *KEY)
+        parts.append(small.mapInArrow(_neighbours(self.region, self.share), PAIR))
+        pairs = reduce(DataFrame.unionByName, parts)
         a, b = F.struct(F.col("a_id").alias("i"), F.col("a_hash").alias("h")), F.struct(F.col("b_id").alias("i"), F.col("b_hash").alias("h"))
         low, high = F.least(a, b), F.greatest(a, b)
         pairs = pairs.select(low["i"].alias("a_id"), low["h"].alias("a_hash"), high["i"].alias("b_id"), high["h"].alias("b_hash"))
@@ -361,7 +362,7 @@ class Forest:
         """
         if self.crowded.isEmpty():
             return linked
-        for low, high in ((0, 2), (2, 8), (8, self.trees)):
+        for low, high in ((0, 4), (4, self.trees)):
             rows = self.crowded.where(F.col("tree").between(low, high - 1))
             blocks = common.saved(self._blocks(rows, linked))
             if blocks.isEmpty():
@@ -417,14 +418,10 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     forest = Forest(docs, **how)
     first = F.struct(*KEY).alias("node")
     classes = common.apart(forest.classes, ["set_1", "set_2"], "key").select("key", "set_2", first)
-    # Rows that share a doc_id are one node, so their classes are linked.
     rows = common.apart(forest.signed, ["set_1", "set_2"], "key").select("doc_id", *KEY, "n_shingles", "key", "set_2")
-    rows = common.saved(rows.join(classes, ["key", "set_2"], "left").withColumn("node", F.coalesce("node", first)))
-    twice = rows.where("n_shingles > 0").groupBy("_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
+    rows = rows.join(classes, ["key", "set_2"], "left").withColumn("node", F.coalesce("node", first))
+    # A class's first row has its smallest id, and a component's smallest node the smallest of all.
     linked = forest.links()
-    if not twice.isEmpty():
-        more = rows.where("n_shingles > 0").join(twice.select("_id", "u"), "_id").select(F.col("node").alias("u"), F.col("u").alias("v"))
-        linked = components(linked.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
     told = rows.join(linked, "node", "left")
     least = F.least(F.coalesce("component", "node")["_id"], F.col("_id"))
     component = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(least)

@@ -68,9 +68,9 @@ def shingles(text, size=5):
 
 
 def near(rows):
-    """For rows of any ids; all pairs that share a shingle."""
+    """For rows of any ids; all pairs that share a shingle. Rows are linked, ids name components."""
     sets = [(NO_ID if d is None else d, shingles(t)) for d, t in rows]
-    parent = {d: d for d, _ in sets}
+    parent = list(range(len(sets)))
 
     def root(x):
         while parent[x] != x:
@@ -88,11 +88,13 @@ def near(rows):
             for b in found[:i]:
                 shared[b, a] += 1
     for (a, b), n in shared.items():
-        (d, x), (e, y) = sets[a], sets[b]
-        if 100 * n >= 75 * (len(x) + len(y) - n):
-            low, high = sorted((root(d), root(e)))
+        if 100 * n >= 75 * (len(sets[a][1]) + len(sets[b][1]) - n):
+            low, high = sorted((root(a), root(b)))
             parent[high] = low
-    return sorted((d, len(s), root(d), root(d) == d) for d, s in sets)
+    least = {}
+    for k, (d, _) in enumerate(sets):
+        least[root(k)] = min(d, least.get(root(k), NO_ID))
+    return sorted((d, len(s), least[root(k)], least[root(k)] == d) for k, (d, s) in enumerate(sets))
 
 
 def best_score(text: bytes, scores: dict[bytes, float]) -> float:

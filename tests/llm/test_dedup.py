@@ -172,9 +172,22 @@ def test_near_odd_rows(spark, odd, empty):
     assert minhash_forest.near_duplicates(empty).collect() == []
 
 
+def test_ids_link_nothing(spark):
+    """Rows without an id, or with one id, are rows of their own: what they are like is not alike for that."""
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    rows = [(5, one + " x"), (7, two + " x"), (None, one), (None, two), (9, one + " y"), (9, "c " * 30 + "d")]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash_forest.near_duplicates(frame(spark, rows)).collect()}
+    assert got[5, 37] == (5, True) and got[7, 37] == (7, True) and got[9, 37] == (5, False) and got[9, 2] == (9, True)
+    assert sorted((brute.NO_ID if r[0] is None else r[0], r[1], brute.NO_ID if r[2] is None else r[2], r[3]) for r in minhash_forest.near_duplicates(frame(spark, rows)).collect()) == brute.near(rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (101, 102), (200, 150), (200, 160)]
-    got = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = dict(map(tuple, components.components(df).collect()))
+    assert got == dict(map(tuple, components.components(df, at_once=0).collect()))
+    pair = df.selectExpr("struct(u AS _id, -u AS _text_hash) AS u", "struct(v AS _id, -v AS _text_hash) AS v")
+    assert {r.node._id: r.component._id for r in components.components(pair).collect()} == got
     want = {i: 0 for i in range(41)} | {i: 100 for i in (100, 101, 102)} | {i: 150 for i in (150, 160, 200)}
     assert got == want
 
