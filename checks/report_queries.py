@@ -235,6 +235,14 @@ def weather_impact(spark, d):
     return weather_plans.weather_impact(v.trips(spark, d), v.weather(spark, d), START, END)
 
 
+@query(
+    f"SELECT *, CAST(date AS TIMESTAMP) + INTERVAL (CAST(hour[1:2] AS INT)) HOUR AS time FROM ({IMPACT.format(IN_RANGE)}) ORDER BY time"
+)
+def weather_points(spark, d):
+    """The report from the oldest hour on, as a chart draws it."""
+    return weather_plans.in_time_order(weather_impact(spark, d))
+
+
 @query(IMPACT.format(f"tpep_pickup_datetime >= TIMESTAMP '{AS_OF}' - INTERVAL 720 HOUR"))
 def weather_impact_last_hours(spark, d):
     return weather_plans.weather_impact(v.trips(spark, d), v.weather(spark, d), as_of=AS_OF)

@@ -32,6 +32,11 @@ def moment(value: Column | datetime | date | str | None) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def from_text(text: Column) -> Column:
+    """A time written as ISO text, with or without time of day or zone; NULL for what is none. A zone is left out."""
+    return text.try_cast("timestamp_ntz")
+
+
 def back(as_of: Column, hours: int = 0, days: int = 0) -> Column:
     return as_of - F.make_dt_interval(F.lit(days), F.lit(hours))
 

@@ -26,6 +26,11 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(INFINITY), value)
 
 
+def at_least(value: Column, low: float) -> Column:
+    """``value``, or ``low`` where it is smaller; a missing value stays missing."""
+    return F.when(value.isNotNull(), F.greatest(value, F.lit(low).cast("double")))
+
+
 def units(value: Column, decimals: int) -> Column:
     return F.rint(finite(value).cast("double") * 10**decimals).cast("bigint")
 

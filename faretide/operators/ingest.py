@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,8 +71,8 @@ def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("file_name"), "file_name", "left_anti").select(*files.columns)
 
 
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """Columns of a trip file under their stored names and types; NULL for those it lacks."""
+def normalize_columns(df: DataFrame, *others: Column) -> DataFrame:
+    """Columns of a trip file under their stored names and types; NULL for those it lacks. ``others`` are kept as they are."""
     present = {}
     for name in df.columns:
         present.setdefault(name.lower(), name)
@@ -84,7 +86,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.IntegerType) and not isinstance(kind, T.IntegralType):
             value = value.try_cast("decimal(38,6)")
         columns.append((value if kind == f.dataType else value.try_cast(f.dataType)).alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *others)
 
 
 def hourly_arrays_to_rows(responses: DataFrame, column: str = "hourly") -> DataFrame:
@@ -127,26 +129,82 @@ def coverage_gaps(ranges: DataFrame, weather: DataFrame, as_of=None) -> DataFram
     return found.filter(F.col("start") <= F.col("end"))
 
 
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names and types of each file's columns, from its footer alone; NULL where the store can only be read by Spark."""
+    for batch in batches:
+        told = []
+        for path in batch.column("file_path").to_pylist():
+            try:
+                filesystem, place = pa.fs.FileSystem.from_uri(path)
+                found = pq.read_schema(place, filesystem=filesystem)
+                told.append(";".join(sorted(f"{f.name}:{f.type}" for f in found)))
+            except (pa.ArrowException, OSError, ValueError):
+                told.append(None)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told, pa.string())], names=[*batch.schema.names, "columns"])
+
+
+def _placed(path: str) -> Column:
+    """A path without its scheme, whether that is written with one slash or three."""
+    return F.regexp_replace(path, "^[^:/]+:/+", "/")
+
+
+def column_groups(files: DataFrame) -> list[list[tuple[str, str]]]:
+    """Files (path, name) by the names and types of their columns, which changed over the years.
+
+    All footers are read in one pass over the cluster. Files whose store the workers cannot open are told apart by Spark,
+    one after the other.
+    """
+    schema = T.StructType([*files.schema.fields, T.StructField("columns", T.StringType())])
+    rows = files.repartition(FOOTER_TASKS).mapInArrow(_footers, schema).collect()  # names of files, never rows
+    groups: dict[str, list[tuple[str, str]]] = {}
+    for r in sorted(rows, key=lambda r: r["file_name"]):
+        told = r["columns"]
+        if told is None:
+            told = ";".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in files.sparkSession.read.parquet(r["file_path"]).schema))
+        groups.setdefault(told, []).append((r["file_path"], r["file_name"]))
+    return list(groups.values())
+
+
 def load_files(spark: SparkSession, glob: str, lake) -> list[str]:
     """Append the trip files the ledger does not list to ``yellow_taxi_trips``, then list them.
 
-    Only file names pass through the driver. The files of a job are loaded together, each with its
-    own column types (they changed over the years). The table is split by file, and a file's
-    directory is replaced as a whole, so a load that died before the ledger was written leaves no
-    doubles when it is repeated.
+    Only file names pass through the driver. Files with the same columns are one scan, one write and one entry in the
+    ledger, however many they are. The table is split by file, and a file's directory is replaced as a whole, so a load
+    that died before the ledger was written leaves no doubles when it is repeated.
     """
     files = unprocessed(list_files(spark, glob), lake.read(LEDGER_TABLE))
-    todo = sorted((row["file_name"], row["file_path"]) for row in files.collect())
-    for first in range(0, len(todo), FILES_PER_JOB):
-        part = todo[first : first + FILES_PER_JOB]
-        rows = [normalize_columns(spark.read.parquet(p)).withColumn("source_file", F.lit(n)) for n, p in part]
-        lake.replace_partitions(reduce(DataFrame.unionByName, rows), TRIP_FILES_TABLE)
-        entries = spark.createDataFrame([(n,) for n, _ in part], "file_name string")
-        lake.append(entries.withColumn("ingested_at", F.current_timestamp()), LEDGER_TABLE)
-    return [name for name, _ in todo]
+    done = []
+    for group in column_groups(files):
+        names = spark.createDataFrame(group, "path string, source_file string").withColumn("_path", _placed("path"))
+        rows = spark.read.parquet(*[path for path, _ in group])
+        rows = normalize_columns(rows, _placed("_metadata.file_path").alias("_path"))
+        named = rows.join(names.drop("path"), "_path", "left")
+        unknown = F.raise_error(F.concat(F.lit("rows of a file that was not listed: "), "_path"))
+        named = named.withColumn("source_file", F.coalesce("source_file", unknown.cast("string")))
+        lake.replace_partitions(named.drop("_path"), TRIP_FILES_TABLE)
+        entries = names.select(F.col("source_file").alias("file_name"), F.current_timestamp().alias("ingested_at"))
+        lake.append(entries, LEDGER_TABLE)
+        done += [name for _, name in group]
+    return sorted(done)
+
+
+def run(spark: SparkSession, glob: str, lake, weather: schemas.TableSpec, fetch: Callable[[DataFrame], DataFrame], as_of=None) -> list[str]:
+    """An ingest in order: the files' days, the weather that is missing for them, then the files themselves.
+
+    ``fetch`` gets the gaps (parquet_file, start, end) and gives archive responses with a column ``hourly``. Hours that are
+    stored already are replaced. Gives the names of the files loaded.
+    """
+    gaps = coverage_gaps(file_profile(spark, glob), lake.read(weather), as_of)
+    hours = hourly_arrays_to_rows(fetch(gaps)).filter(F.col("time").isNotNull())
+    for name in weather.partitions:
+        if name not in hours.columns:
+            hours = hours.withColumn(name, clock.month_key(F.col("time")) if name == "row_month" else F.to_date("time"))
+    lake.merge(weather, hours, ["time"])
+    return load_files(spark, glob, lake)
 
 
-FILES_PER_JOB = 64
+#: Tasks that read footers.
+FOOTER_TASKS = 16
 LEDGER_TABLE = schemas.TableSpec("ingestion_log", schemas.LEDGER)
 TRIP_FILES_TABLE = schemas.TableSpec(
     "yellow_taxi_trips",

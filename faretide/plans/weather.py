@@ -72,6 +72,12 @@ def weather_impact(
     return report if limit is None else report.limit(limit)
 
 
+def in_time_order(impact: DataFrame) -> DataFrame:
+    """The hourly report from the oldest hour on, by the time that its day and hour label make up (``time``)."""
+    time = F.to_timestamp_ntz(F.concat_ws(" ", F.col("date").cast("string"), "hour"), F.lit("yyyy-MM-dd HH:mm"))
+    return impact.withColumn("time", time).orderBy("time")
+
+
 def weather_condition_rollup(impact: DataFrame) -> DataFrame:
     """Trips and mean fare per weather condition, from the hourly report.
 

@@ -76,3 +76,9 @@ def zones_from_gold(
         F.col("avg_distance").alias("distance"),
     )
     return report if limit is None else report.limit(limit)
+
+
+def charted(report: DataFrame, k: int = 5) -> DataFrame:
+    """The first ``k`` zones of a report for a chart: ``pickups`` shown as ``trips``, and ``size``, the mean fare, never below 0."""
+    head = report.limit(k)
+    return head.withColumnRenamed("pickups", "trips").withColumn("size", measures.at_least(F.col("avg_fare"), 0))

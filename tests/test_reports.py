@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faretide import schemas
+from faretide.functions import clock
 from faretide.operators import filters
 from faretide.plans import activity, gold, overview, series, trips as trip_plans, weather as weather_plans, zones as zone_plans
 from faretide.schemas import TableSpec
@@ -194,3 +195,11 @@ def test_active_zones_of_days_from_gold(spark):
     z = zones(spark)
     [row] = dicts(overview.stats_from_gold(gold.borough_summary(t, z), gold.zone_performance(t, z), "2024-03-02", "2024-03-02", zone_daily=daily))
     assert row["active_zones"] == 1 and [x["zone_name"] for x in row["top_zones"]][:2] == ["Astoria", None]
+
+
+def test_charts(spark):
+    report = spark.createDataFrame([(n, n, float(n - 2) if n < 5 else None) for n in range(7)], "zone_id int, pickups int, avg_fare double")
+    assert [(r["trips"], r["size"]) for r in dicts(zone_plans.charted(report))] == [(0, 0.0), (1, 0.0), (2, 0.0), (3, 1.0), (4, 2.0)]
+    times = spark.createDataFrame([("2024-03-01T08:00:00Z",), ("2024-03-01",), ("soon",), (None,)], "t string")
+    got = [str(r["t"]) for r in dicts(times.select(clock.from_text(F.col("t")).alias("t")))]
+    assert got == ["2024-03-01 08:00:00", "2024-03-01 00:00:00", "None", "None"]

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from faretide.operators import ingest, recon
-from faretide.schemas import DATE, INT, STRING, ZONE, TableSpec, struct
+from faretide.schemas import DATE, INT, STRING, WEATHER, ZONE, TableSpec, struct
 from faretide.sources import changes, files, tables
 from tests.helpers import dicts, trips, weather, zones
 
@@ -140,6 +140,50 @@ def test_bulk_load_skips_what_it_has(spark, lake, tmp_path):
     assert lake.read(ingest.TRIP_FILES_TABLE).count() == 2
 
 
+def test_jobs_of_a_bulk_load_do_not_grow_with_files(spark, lake, tmp_path):
+    """Files of two kinds: as many jobs for 24 of them as for 4, and every row under its file."""
+
+    def load(name, files):
+        context, folder = spark.sparkContext, tmp_path / name
+        for i in range(files):
+            one = trips(spark, {"fare_amount": float(i)}).drop("row_date")
+            if i % 2:
+                one = one.withColumn("VendorID", one.vendorid.cast("double")).drop("vendorid").withColumn("airport_fee", one.fare_amount.cast("string"))
+            one.coalesce(1).write.parquet(str(folder / f"{i:03d}"))
+        context.setJobGroup(name, name)
+        done = ingest.load_files(spark, str(folder), lake)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert len(done) == files
+        return len(context.statusTracker().getJobIdsForGroup(name))
+
+    few, many = load("few", 4), load("many", 24)
+    assert many <= few
+    rows = dicts(lake.read(ingest.TRIP_FILES_TABLE))
+    assert sorted(int(r["fare_amount"]) for r in rows) == sorted([*range(4), *range(24)])
+    assert all(r["vendorid"] == 1 and int(r["fare_amount"]) == int(r["source_file"].split("/")[0]) for r in rows)
+
+
+def test_an_ingest_in_order(spark, lake, tmp_path):
+    trips(spark, {"pickup": "2024-03-01 08:00:00"}, {"pickup": "2024-03-02 08:00:00"}).drop("row_date").coalesce(1).write.parquet(str(tmp_path / "in"))
+    hours, asked = TableSpec("hours", WEATHER), []
+    lake.reload(weather(spark, ("2024-03-01 08:00:00", 1.0, 0.0, 50.0)), hours)
+
+    def fetch(gaps):
+        asked.extend((str(r["start"]), str(r["end"])) for r in dicts(gaps))
+        times = ["2024-03-02T08:00", "2024-03-02T09:00", None]
+        response = {"time": times, "temperature_2m": [3.0, 4.0, 5.0], "precipitation": [0.0] * 3, "relative_humidity_2m": [1.0] * 3, "windspeed_10m": [1.0] * 3}
+        kinds = "hourly struct<time: array<string>, temperature_2m: array<double>, precipitation: array<double>, relative_humidity_2m: array<double>, windspeed_10m: array<double>>"
+        return spark.createDataFrame([(response,)], kinds)
+
+    for _ in range(2):
+        loaded = ingest.run(spark, str(tmp_path / "in"), lake, hours, fetch, "2024-06-01 00:00:00")
+    assert asked == [("2024-03-02", "2024-03-02")] and loaded == []
+    assert sorted((str(r["time"]), r["temperature"]) for r in dicts(lake.read(hours))) == [
+        ("2024-03-01 08:00:00", 1.0), ("2024-03-02 08:00:00", 3.0), ("2024-03-02 09:00:00", 4.0)
+    ]
+    assert lake.read(ingest.TRIP_FILES_TABLE).count() == 2
+
+
 def test_readiness(spark):
     assert recon.is_ready(spark.range(1000))
     assert not recon.is_ready(spark.range(999))
