@@ -148,7 +148,7 @@ def test_jobs_of_a_bulk_load_do_not_grow_with_files(spark, lake, tmp_path):
         for i in range(files):
             one = trips(spark, {"fare_amount": float(i)}).drop("row_date")
             if i % 2:
-                one = one.withColumn("VendorID", one.vendorid.cast("double")).drop("vendorid").withColumn("airport_fee", one.fare_amount.cast("string"))
+                one = one.withColumn("vendorid", one.vendorid.cast("double")).withColumnRenamed("vendorid", "VendorID").withColumn("airport_fee", one.fare_amount.cast("string"))
             one.coalesce(1).write.parquet(str(folder / f"{i:03d}"))
         context.setJobGroup(name, name)
         done = ingest.load_files(spark, str(folder), lake)
