@@ -1,13 +1,14 @@
 r"""Benchmark decontamination by greedy string tiling.
 
 Words are ``[^\x20\x09-\x0D]+`` without bytes that are ASCII punctuation, A-Z in lower case. Benchmark items meet a text by shared runs
-of ``seed`` words. For each pair, the longest common run not yet tiled is marked, again and again, down to ``seed``
-words: seeds are grown along their diagonals, and a running Karp-Rabin hash of each length finds the longest. Tiles may
+of ``seed`` words. For each pair, the longest common runs not yet tiled are marked, again and again, down to ``seed``
+words: running Karp-Rabin hashes of falling length, compared where seeds are shared, tell the longest. Tiles may
 come in any order, so a passage whose sentences were moved is covered all the same. An item whose tiles cover
 ``coverage`` of its words is in the document.
 
-The benchmark is a table of questions, not a corpus; it is read in blocks of at most ``block_words`` words, whatever its size,
-and each block is sent to the executors on its own: that bounds what is broadcast. Texts are never shuffled.
+The benchmark is a table of questions, not a corpus. It passes through the driver in blocks of at most ``block_words`` words, and
+each block is broadcast by itself and meets all texts in one scan. Texts are never shuffled. All blocks are made before the
+scan begins, so the driver holds the whole benchmark.
 
 Defined results: a null text holds nothing; an item with fewer than ``seed`` words must stand whole, as one run, and
 an item without words is in no document; repeated rows and items are judged each on its own; a null doc_id is kept as
@@ -53,33 +54,46 @@ def runs_of(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def tile(item: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (place in the item, place in the text, words): longest first, none overlapping in either."""
+    """Greedy tiles (place in the item, place in the text, words): longest first, none overlapping in either.
+
+    A common run begins at a seed, so for each length the running hashes of item and text are compared there. A run of
+    some length that is free and common stays so when it is cut, so the longest length is found by halving. Of equal ones
+    the first in the item is marked first, then the first in the text. Equal hashes are confirmed word by word.
+    """
+    at, to = (np.array(x, np.int64) for x in zip(*sorted(seeds)))
+    of_item, of_text = arrays.Ranges(item), arrays.Ranges(text)
+    taken_item, taken_text = np.zeros(len(item) + 1, np.int64), np.zeros(len(text) + 1, np.int64)  # words tiled before a place
+
+    def common_runs(size: int) -> tuple[np.ndarray, np.ndarray]:
+        inside = (at + size <= len(item)) & (to + size <= len(text))
+        a, b = at[inside], to[inside]
+        free = (taken_item[a + size] == taken_item[a]) & (taken_text[b + size] == taken_text[b])
+        a, b = a[free], b[free]
+        same = of_item.of(a, a + size) == of_text.of(b, b + size)
+        return a[same], b[same]
+
     open_item, open_text = np.ones(len(item), bool), np.ones(len(text), bool)
-    tiles = []
-    while seeds:
-        # The free diagonal run from each seed; a seed with a free seed right before it on its diagonal lies inside that run.
-        free = [(a, b) for a, b in seeds if open_item[a : a + least].all() and open_text[b : b + least].all()]
-        starts = set(free)
-        best: list[tuple[int, int, int]] = []
-        for a, b in free:
-            if (a - 1, b - 1) in starts:
-                continue
-            size = least
-            while (a + size - least + 1, b + size - least + 1) in starts:
-                size += 1
-            if best and size < best[0][2]:
-                continue
-            if best and size > best[0][2]:
-                best = []
-            best.append((a, b, size))
-        if not best:
+    tiles, longest = [], min(len(item), len(text))
+    while longest >= least:
+        low, high = least - 1, longest
+        while low < high:
+            middle = (low + high + 1) // 2
+            if len(common_runs(middle)[0]):
+                low = middle
+            else:
+                high = middle - 1
+        longest = low
+        if longest < least:
             break
-        for a, b, size in best:
-            if open_item[a : a + size].all() and open_text[b : b + size].all():
-                open_item[a : a + size] = False
-                open_text[b : b + size] = False
-                tiles.append((a, b, size))
-        seeds = free
+        runs = list(zip(*(x.tolist() for x in common_runs(longest))))
+        for a, b in runs:
+            i, j = slice(a, a + longest), slice(b, b + longest)
+            if open_item[i].all() and open_text[j].all():
+                if not np.array_equal(item[i], text[j]):
+                    raise ArithmeticError("two different runs of words have one 64-bit hash")
+                open_item[i] = open_text[j] = False
+                tiles.append((a, b, longest))
+        taken_item[1:], taken_text[1:] = np.cumsum(~open_item), np.cumsum(~open_text)
     return tiles
 
 
@@ -182,9 +196,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverage: float
     return found
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; a document without id is judged by its text."""
-    keyed = common.keyed(docs).select(F.xxhash64("_id", "_text_hash").alias("doc_id"), "text")
-    bad = leaks(keyed, benchmark, **how).select(F.col("doc_id").alias("_row")).distinct()
-    row = F.xxhash64(common.order_id(), F.xxhash64(F.coalesce("text", F.lit(""))))
-    return docs.withColumn("_row", row).join(bad, "_row", "left_anti").drop("_row")
+def _clean(shared, at: int):
+    """The rows of which no item of the block is in the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        block = shared.value
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1000):
+                batch = whole.slice(low, 1000)
+                stays = np.ones(batch.num_rows, bool)
+                for row, _, _ in block.find(batch.column(at)):
+                    stays[row] = False
+                yield batch.filter(pa.array(stays))
+
+    return run
+
+
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverage: float = 0.6, block_words: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item. Rows are judged and dropped in one scan, block after block."""
+    spark = common.importable(docs.sparkSession)
+    at = docs.columns.index("text")
+    for block in blocks(benchmark, seed, coverage, block_words):
+        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(block), at), docs.schema)
+    return docs

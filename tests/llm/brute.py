@@ -107,3 +107,23 @@ def best_score(text: bytes, scores: dict[bytes, float]) -> float:
             if score is not None:
                 best[end] = max(best[end], best[begin] + score)
     return best[-1]
+
+
+def tiles(item, text, least):
+    """Greedy string tiling over all pairs of places: longest first, then first in the item, then first in the text."""
+    item_free, text_free, found = [True] * len(item), [True] * len(text), []
+    while True:
+        best = None
+        for a in range(len(item)):
+            for b in range(len(text)):
+                n = 0
+                while a + n < len(item) and b + n < len(text) and item_free[a + n] and text_free[b + n] and item[a + n] == text[b + n]:
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (a, b, n)
+        if best is None:
+            return found
+        found.append(best)
+        a, b, n = best
+        for k in range(n):
+            item_free[a + k] = text_free[b + k] = False

@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from faretide.llm import decontaminate, langid, licenses, quality_lines, superkmer_dedup, url_rules
@@ -157,6 +158,54 @@ def test_tiles_never_overlap():
     assert sorted(decontaminate.tile(item, text, seeds, 2)) == [(0, 4, 5)]
 
 
+def moved_passages(seed, items=12, docs=40):
+    """Items over few words, and texts of their pieces in other orders, with words changed here and there."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{k}" for k in range(9)]
+    benchmark = [(i, " ".join(rng.choice(words, rng.integers(1, 30)))) for i in range(items)]
+    rows = []
+    for d in range(docs):
+        parts = []
+        for i in rng.choice(items, rng.integers(1, 4)):
+            own = benchmark[i][1].split()
+            cut = sorted(rng.integers(0, len(own) + 1, 2))
+            pieces = [own[cut[0] : cut[1]], own[: cut[0]], own[cut[1] :], list(rng.choice(words, rng.integers(0, 6)))]
+            parts += [w if rng.random() > 0.03 else "changed" for k in rng.permutation(4) for w in pieces[k]]
+        rows.append((d, " ".join(parts)))
+    return benchmark, rows
+
+
+def test_tiles_same_as_brute():
+    for seed in range(6):
+        benchmark, rows = moved_passages(seed)
+        block = decontaminate.Block([i for i, _ in benchmark], [t for _, t in benchmark], 3, 0.01)
+        for _, text in rows[:10]:
+            own = {i: found for _, i, found in block.find(pa.array([text]))}
+            for k, (_, item) in enumerate(benchmark):
+                item = item.split()
+                want = brute.tiles(item, text.split(), min(3, len(item)))
+                assert own.get(k, []) == want, (item, text)
+
+
+def test_leaks_same_as_brute(spark):
+    benchmark, rows = moved_passages(11, docs=120)
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(benchmark, "item_id long, text string")
+    want = []
+    for d, text in rows:
+        for i, item in benchmark:
+            item = item.split()
+            covered = sum(n for _, _, n in brute.tiles(item, text.split(), min(5, len(item))))
+            if covered >= 0.6 * len(item):
+                want.append((d, i, covered, len(item)))
+    for block_words in (40, 10**6):
+        found = decontaminate.leaks(docs, table, block_words=block_words).collect()
+        assert sorted((r.doc_id, r.item_id, r.covered, r.item_words) for r in found) == sorted(want) and len(want) > 50
+        left = decontaminate.drop_leaking(docs.withColumn("_row", docs.doc_id), table, block_words=block_words).collect()
+        assert sorted(r.doc_id for r in left) == sorted({d for d, _ in rows} - {d for d, *_ in want})
+    plan = decontaminate.drop_leaking(docs, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 @pytest.fixture(scope="module")
 def model():
     try:
