@@ -115,11 +115,21 @@ class Finder:
         for k, places in spans.items():
             notice, label = self.notices[k]
             for low, high in places:
-                for m in self.patterns[k].finditer(normal, low, high):
+                for m in _matches(self.patterns[k], normal, low, high):
                     found.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)))
         return sorted(found, key=lambda x: x[1:])
 
 
+def _matches(pattern: regex.Pattern, text: str, low: int, high: int) -> Iterator[regex.Match]:
+    """The best match of a span, and those of what lies before and behind it."""
+    parts = [(low, high)]
+    while parts:
+        low, high = parts.pop()
+        if m := pattern.search(text, low, high):
+            yield m
+            parts += [(low, m.start()), (m.end(), high)]
+
+
 @lru_cache(maxsize=4)
 def finder(notices: tuple, phrases: tuple, error_share: float, max_edits: int) -> Finder:
     return Finder(dict(notices), dict(phrases), error_share, max_edits)

@@ -158,6 +158,28 @@ def test_tiles_never_overlap():
     assert sorted(decontaminate.tile(item, text, seeds, 2)) == [(0, 4, 5)]
 
 
+def test_every_notice_of_a_joined_span_is_found():
+    find = licenses.Finder(licenses.NOTICES, licenses.PHRASES, 0.08, 3)
+    found = find.notices_in(" licensed under the mit licence licensed under the mit license ")
+    assert [(edits, low) for _, low, _, edits, _ in found if edits >= 0][:2] and len({low // 30 for _, low, *_ in found}) == 2
+    rng = np.random.default_rng(4)
+    notices = list(licenses.NOTICES)
+    for _ in range(60):
+        planted, parts = [], []
+        for _ in range(int(rng.integers(1, 5))):
+            k = int(rng.integers(len(notices)))
+            notice, own = notices[k], list(notices[k])
+            for at in rng.choice(len(own), int(rng.integers(0, find.edits[k] + 1)), replace=False):
+                own[at] = "z"
+            low = sum(len(p) + 1 for p in parts) + 1
+            parts.append("".join(own))
+            planted.append((licenses.NOTICES[notice], low, low + len(own)))
+            parts += ["qq"] * int(rng.integers(0, 3))
+        told = find.notices_in(" " + " ".join(parts) + " ")
+        for label, low, high in planted:
+            assert any(n == label and a < high and low < b for n, a, b, *_ in told), (parts, told)
+
+
 def moved_passages(seed, items=12, docs=40):
     """Items over few words, and texts of their pieces in other orders, with words changed here and there."""
     rng = np.random.default_rng(seed)
