@@ -7,7 +7,8 @@ an inverted index leads from each url's tokens to the rules whose rarest token i
 holds all its tokens. The most confident rule wins, then the one with more tokens, then more support, then block.
 Without any rule the verdict is ``default``.
 
-A url's tokens: its host's labels and suffixes, its path's first segments, the kind of each segment, its query's names.
+A url's tokens: its host's last three suffixes and its subdomain, its path's first ``depth`` segments with digits as one kind,
+its scheme and its query's names. What hangs on a later segment is not seen.
 
 FP-growth is fitted on ``sample_rows`` labelled urls at most, those with the smallest hashes. A learned rule has at most
 ``max_tokens`` tokens, so their number is bounded by the sample. Every url is judged.
@@ -125,13 +126,20 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default:
         F.col("_tokens").alias("tokens"), F.col("_given.verdict").alias("label"), F.xxhash64("url").alias("order")
     )
     learned = index(learn(labelled, **how))
-    # Urls with the same tokens are judged once.
-    sets = base.where("_given IS NULL AND size(_tokens) > 0").select(F.sort_array("_tokens").alias("tokens")).distinct()
+    # Urls with the same tokens are judged once. Rows that a given rule decides, or that have no token, meet nothing; the
+    # others meet their verdict by a key of its own, so that a token set that very many share can be split.
+    open_rows = base.where("_given IS NULL AND size(_tokens) > 0").withColumn("tokens", F.sort_array("_tokens"))
+    sets = open_rows.select("tokens").distinct()
     rows = sets.select("tokens", F.explode("tokens").alias("token"))
     found = rows.join(learned.withColumnRenamed("tokens", "needs"), "token").where(F.size(F.array_except("needs", "tokens")) == 0)
     best = F.max(F.struct("confidence", F.size("needs"), "support", (F.col("label") == "block"), "label", "needs")).alias("b")
     verdicts = found.groupBy("tokens").agg(best).select("tokens", F.col("b.label").alias("_label"), F.col("b.needs").alias("learned"))
-    told = base.withColumn("tokens", F.when(F.col("_given").isNull(), F.sort_array("_tokens"))).join(verdicts, "tokens", "left")
+    salted = F.xxhash64("tokens").alias("_salted")
+    met = open_rows.select("*", salted).join(verdicts.select("*", salted), ["_salted", "tokens"], "left")
+    shown = [*pages.columns, "host", "path", "_given", "_label", "learned"]
+    rest = base.where("_given IS NOT NULL OR size(_tokens) = 0")
+    rest = rest.withColumns({"_label": F.lit(None).cast("string"), "learned": F.lit(None).cast("array<string>")})
+    told = met.select(*shown).unionByName(rest.select(*shown))
     return told.select(
         *pages.columns,
         "host",

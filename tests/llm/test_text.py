@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from faretide.llm import decontaminate, langid, licenses, quality_lines, superkmer_dedup, url_rules
 from faretide.llm import sentencepiece_viterbi as sp
@@ -311,6 +312,30 @@ def test_urls(spark):
     assert url_rules.judge(pages.where("false")).count() == 0
 
 
+def test_learned_verdicts_same_as_brute(spark):
+    """Every learned rule against every url, without an index; a token set that most urls share among them."""
+    rng = np.random.default_rng(6)
+    part = lambda *choices: str(rng.choice(choices))
+    urls = [f"http://{part('a', 'b', 'www')}.{part('shop', 'news', 'example')}.{part('com', 'net', 'org', 'io')}/{part('en', 'es', 'fr', 'x')}/{part('p', 'q')}{rng.integers(99)}?{part('id', 'lang')}=1" for _ in range(300)]
+    urls += ["https://many.org/a/b"] * 120 + [None, "none", "ftp://.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_rules.host_and_path(F.coalesce("url", F.lit("")))
+    base = pages.select("*", host.alias("host"), path.alias("path"))
+    base = base.select("page_id", "url", url_rules.by_rules(F.col("host"), F.col("path"), url_rules.RULES).alias("g"), url_rules.tokens(F.coalesce("url", F.lit("")), F.col("host"), F.col("path")).alias("tokens"))
+    labelled = base.where("g IS NOT NULL").select("tokens", F.col("g.verdict").alias("label"), F.xxhash64("url").alias("order"))
+    rules = url_rules.learn(labelled).collect()
+    got = {r.page_id: r for r in url_rules.judge(pages).collect()}
+    assert len(got) == len(urls) and len(rules) > 5
+    learned = 0
+    for r in base.collect():
+        fitting = [(x.confidence, len(x.tokens), x.support, x.label == "block", x.label) for x in rules if set(x.tokens) <= set(r.tokens)]
+        want = r.g.verdict if r.g else max(fitting)[-1] if fitting else "allow"
+        assert got[r.page_id].verdict == want, (r.url, fitting)
+        assert (got[r.page_id].learned is not None) == (r.g is None and bool(fitting))
+        learned += r.g is None and bool(fitting)
+    assert learned > 120
+
+
 def test_learned_rules_are_pruned_and_right(spark):
     rows = [(["a", "b"], "block", i) for i in range(8)] + [(["a", "c"], "allow", i) for i in range(8)] + [(["a", "b", "d"], "block", 99)]
     rules = url_rules.learn(spark.createDataFrame(rows, "tokens array<string>, label string, order long"), min_support=0.05)
