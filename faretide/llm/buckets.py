@@ -104,6 +104,9 @@ def contested(unique: DataFrame, hot: int) -> DataFrame:
 
 
 def with_lists(docs: DataFrame, items: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Each document's row (doc_id, _id, _text_hash, text) with ``items``: the list of what ``items`` says of it."""
-    lists = items.groupBy("_id", "_text_hash").agg(F.collect_list(F.struct(*columns)).alias("items"))
+    """Each document's row (doc_id, _id, _text_hash, text) with ``items``: what ``items`` says of it, each thing once.
+
+    Rows that agree in id and text say the same of one another; every task reduces that to one before the shuffle.
+    """
+    lists = items.groupBy("_id", "_text_hash").agg(F.collect_set(F.struct(*columns)).alias("items"))
     return common.keyed(docs).join(lists, ["_id", "_text_hash"], how).select("doc_id", "_id", "_text_hash", "text", "items")

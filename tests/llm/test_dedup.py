@@ -172,6 +172,20 @@ def test_near_odd_rows(spark, odd, empty):
     assert minhash_forest.near_duplicates(empty).collect() == []
 
 
+@pytest.mark.parametrize("missing", [False, True])
+def test_many_repeated_rows_cost_their_number(spark, missing):
+    """Rows that agree in id and text; the lists that they are cut by do not grow with them."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(None if missing else 1, text)] * 1500 + [(2, text + " end"), (3, "none of it " * 3)]
+    df = frame(spark, rows)
+    items = minhash_forest.buckets.with_lists(df, superkmer_dedup.repeated_runs(df), ["start", "n"], "left").selectExpr("max(size(items)) AS n")
+    assert items.first().n < 300
+    told = {(r.doc_id, r.n_words, r.n_removed) for r in superkmer_dedup.dedup_passages(df, keep_text=False).collect()}
+    assert told == {(None if missing else 1, 300, 300), (2, 301, 300), (3, 9, 0)}
+    cut = suffix_dedup.dedup_bytes(df, keep_text=False).groupBy("doc_id", "n_removed").count().collect()
+    assert len(cut) == 3 and sum(r["count"] for r in cut) == len(rows)
+
+
 def test_ids_link_nothing(spark):
     """Rows without an id, or with one id, are rows of their own: what they are like is not alike for that."""
     one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
