@@ -1,6 +1,7 @@
 """The pipeline against plain versions of its stages, and the registered queries."""
 
 import os
+import re
 
 import pytest
 
@@ -31,6 +32,58 @@ def test_stages(spark, documents):
     assert ids.where("NOT same").count() == 0 and ids.count() == docs.count()
 
 
+def without_shared_lines(rows):
+    """Plain line dedup of (doc_id, text) with different ids."""
+    key = lambda line: line.strip(brute_space).translate(brute.LOWER)
+    holders = {}
+    for d, text in rows:
+        for line in (text or "").split("\n"):
+            holders.setdefault(key(line), set()).add(d)
+    gone = lambda d, line: len(key(line)) >= 10 and len(holders[key(line)]) > 1 and min(holders[key(line)]) != d
+    out = []
+    for d, text in rows:
+        lines = (text or "").split("\n")
+        kept = [line for line in lines if not gone(d, line)]
+        if len(kept) == len(lines):
+            out.append((d, text))
+        elif "\n".join(kept).strip(brute_space):
+            out.append((d, "\n".join(kept)))
+    return out
+
+
+brute_space = " \t\n\x0b\f\r"
+
+
+def words_of(text):
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").translate(brute.LOWER))
+
+
+def leaks(text, items):
+    words = words_of(text)
+    runs = {tuple(words[i : i + k]) for k in {min(5, len(x)) for x in items if x} for i in range(len(words) - k + 1)}
+    for item in items:
+        least = min(5, len(item))
+        if item and any(tuple(item[i : i + least]) in runs for i in range(len(item) - least + 1)):
+            if sum(n for _, _, n in brute.tiles(item, words, least)) >= 0.6 * len(item):
+                return True
+    return False
+
+
+def test_run_same_as_plain_stages(spark, documents):
+    """run() against plain versions, stage after stage; of language ID, which is trained, the stage itself."""
+    network_kept = corpus_pipeline.common.saved(corpus_pipeline.language_id(spark, documents, FOLDER))
+    rows = without_shared_lines([(r.doc_id, r.text) for r in network_kept.select("doc_id", "text").collect()])
+    alike = {d for d, n, c, kept in brute.near(rows) if n and not kept}
+    rows = [(d, t) for d, t in rows if d not in alike]
+    items = [words_of(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    rows = [(d, t) for d, t in rows if not leaks(t, items)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    want = corpus_pipeline.token_ids(spark, plain, FOLDER)
+    got = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, map(tuple, want.collect())))
+    assert 0 < len(rows) < documents.count() and got.where("NOT same").count() == 0
+
+
 def test_stages_on_odd_rows(spark, odd, empty):
     for rows in (odd, empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -50,7 +103,7 @@ def test_near_duplicates_of_shared_and_missing_ids(spark):
 
 def test_every_operator_is_registered():
     names = sorted(queries.QUERIES)
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(names) <= set(entry.queries()) and "pipeline" in entry.queries()
 
 
