@@ -427,3 +427,29 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     component = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(least)
     shown = F.when(component != common.NO_ID, component)
     return told.select("doc_id", "n_shingles", shown.alias("component_id"), (F.col("_id") == component).alias("kept"))
+
+
+#: The result in SQL, for tables where all pairs that share a shingle can be listed and ids differ.
+REPORT_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)
+), both_ways AS MATERIALIZED (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT reached.doc_id, y FROM reached JOIN both_ways ON x = other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""

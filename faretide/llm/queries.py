@@ -55,7 +55,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_report(table(spark, folder, "documents"))
 
 
-@query()
+@query(superkmer_dedup.REPORT_SQL)
 def op9_superkmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return superkmer_dedup.dedup_passages(table(spark, folder, "documents"), keep_text=False)
 
@@ -65,7 +65,7 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(table(spark, folder, "documents"), keep_text=False)
 
 
-@query()
+@query(minhash_forest.REPORT_SQL)
 def op2_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, folder, "documents"))
 

@@ -190,3 +190,23 @@ def dedup_passages(docs: DataFrame, window: int = 35, keep_text: bool = True, **
     rows = buckets.with_lists(docs, runs, ["start", "n"], "left").select("doc_id", "text", "items")
     last = "text string" if keep_text else "kept_sha256 string"
     return rows.mapInArrow(_remove(window, keep_text), f"doc_id long, n_words long, n_removed long, {last}")
+
+
+#: The result in SQL, for tables where every window can be spelled out.
+REPORT_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS MATERIALIZED (
+  SELECT r, i, sha256(array_to_string(w[i:i + 34], ' ')) AS k FROM d, LATERAL (SELECT unnest(range(1, len(w) - 33)) AS i)
+), again AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1
+), gone AS (
+  SELECT DISTINCT r, j FROM again, LATERAL (SELECT unnest(range(i, i + 35)) AS j)
+), places AS (
+  SELECT r, j, w[j] AS word FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS j)
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n FROM places ANTI JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
