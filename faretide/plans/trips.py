@@ -2,8 +2,8 @@
 
 Pages come in three ways. ``paginate`` skips rows, which costs as much as reading all pages before: for the first few pages.
 ``page_after`` goes on behind the last row of a page, in one pass that keeps ``page_size`` rows a task, whatever the page.
-``Pages`` reads any page by its number: rows are stored once in ranges of the order with their counts, and a page reads the
-one or two ranges it lies in.
+``Pages`` reads any page by its number: rows are stored once in ranges of the order, in folders with known counts, and a page
+filters the one or two folders it lies in by its ranges.
 """
 
 from __future__ import annotations
@@ -105,43 +105,62 @@ def page_after(df: DataFrame, page_size: int, order_by: Sequence[str], after: Se
     return kept.orderBy(*order_by).limit(page_size)
 
 
+# Rows of a folder at least, however short the ranges are: folders, their tasks and their counts are what the driver sees.
+_FOLDER_ROWS = 250_000
+
+
 @dataclass(frozen=True)
 class Pages:
-    """Rows stored in ranges of a total order. ``counts``: the rows of each range, a number for every ``rows_per_range`` rows."""
+    """Rows stored in ranges of a total order, a folder for each run of ranges. ``folders``: the rows of each folder in order;
+    its ranges have ``rows_per_range`` rows, the last one what is left."""
 
     lake: Lake
     table: TableSpec
     order_by: tuple[str, ...]
-    counts: tuple[int, ...]
+    folders: tuple[int, ...]
+    rows_per_range: int
+
+    @property
+    def counts(self) -> tuple[int, ...]:
+        """The rows of each range."""
+        size = self.rows_per_range
+        return tuple(min(size, rows - start) for rows in self.folders for start in range(0, rows, size))
 
     @classmethod
     def store(cls, df: DataFrame, lake: Lake, name: str, order_by: Sequence[str], rows_per_range: int = 1_000_000) -> Pages:
         """Sort ``df`` into ranges and store them as table ``name``."""
-        ranges = max(1, -(-df.count() // rows_per_range))
-        schema = T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])
-        table = TableSpec(name, schema, ("_range",), tuple(order_by))
-        dealt = df.repartitionByRange(ranges, *order_by).withColumn("_range", F.spark_partition_id())
-        lake.reload(dealt, table)
-        found = {r["_range"]: r["n"] for r in lake.read(table).groupBy("_range").agg(F.count("*").alias("n")).collect()}
-        return cls(lake, table, tuple(order_by), tuple(found.get(i, 0) for i in range(ranges)))
+        folders = max(1, -(-df.count() // max(rows_per_range, _FOLDER_ROWS)))
+        own = [T.StructField("_folder", T.IntegerType()), T.StructField("_range", T.LongType())]
+        table = TableSpec(name, T.StructType([*df.schema.fields, *own]), ("_folder",), ("_range", *order_by))
+        dealt = df.repartitionByRange(folders, *order_by).sortWithinPartitions(*order_by)
+        # The number of a row in its partition: the lower 33 bits of this id.
+        place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+        numbered = dealt.withColumn("_id", F.monotonically_increasing_id())
+        lake.reload(
+            numbered.withColumns({"_folder": F.shiftright("_id", 33), "_range": F.floor(place / F.lit(rows_per_range))}), table
+        )
+        found = {r["_folder"]: r["n"] for r in lake.read(table).groupBy("_folder").agg(F.count("*").alias("n")).collect()}
+        return cls(lake, table, tuple(order_by), tuple(found.get(i, 0) for i in range(max(found, default=-1) + 1)), rows_per_range)
 
     def page(self, page: int, page_size: int) -> DataFrame:
         """One page, with the number of rows and pages beside every row."""
         if page < 1 or page_size < 1:
             raise ValueError("page and page_size start at 1")
         first, last = (page - 1) * page_size, page * page_size
-        before, wanted, total = {}, [], 0
-        for number, count in enumerate(self.counts):
+        wanted, inside, ahead, total = [], F.lit(False), F.lit(0), 0
+        for number, count in enumerate(self.folders):
             if count and total < last and total + count > first:
+                low = max(first - total, 0) // self.rows_per_range
+                high = (min(last - total, count) - 1) // self.rows_per_range
+                here = F.col("_folder") == number
                 wanted.append(number)
-                before[number] = total
+                inside = inside | (here & F.col("_range").between(low, high))
+                before = F.col("_range") * self.rows_per_range + (total - first - 1)
+                ahead = F.when(here, before).otherwise(ahead)
             total += count
-        rows = self.lake.read(self.table, wanted)
-        ahead = F.lit(0)
-        for number in wanted:
-            ahead = F.when(F.col("_range") == number, before[number] - first - 1).otherwise(ahead)
-        place = F.row_number().over(Window.partitionBy("_range").orderBy(*self.order_by)) + ahead
+        rows = self.lake.read(self.table, wanted).filter(inside)
+        place = F.row_number().over(Window.partitionBy("_folder", "_range").orderBy(*self.order_by)) + ahead
         rows = rows.withColumn("_place", place).filter(F.col("_place").between(0, page_size - 1))
         facts = {"total_count": F.lit(total).cast("bigint"), "page": F.lit(page), "page_size": F.lit(page_size)}
         facts["total_pages"] = F.lit(-(-total // page_size)).cast("bigint")
-        return rows.orderBy("_place").drop("_range", "_place").withColumns(facts)
+        return rows.orderBy("_place").drop("_folder", "_range", "_place").withColumns(facts)

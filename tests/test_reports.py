@@ -148,6 +148,20 @@ def test_page_by_number_reads_its_ranges_only(spark, lake):
     assert dicts(empty.page(1, 10)) == []
 
 
+def test_short_ranges_share_folders(spark, lake, monkeypatch):
+    """Ranges of a few rows make no folder, and no task, each; pages that cross folders and ranges are whole."""
+    rows = spark.range(1000).selectExpr("CAST(id % 7 AS INT) AS a", "id AS b")
+    short = trip_plans.Pages.store(rows, lake, "short", ["a", "b"], rows_per_range=2)
+    assert len(lake.partition_values(short.table)) == 1 and len(short.counts) == 500
+    monkeypatch.setattr(trip_plans, "_FOLDER_ROWS", 300)
+    parted = trip_plans.Pages.store(rows, lake, "parted", ["a", "b"], rows_per_range=7)
+    assert len(parted.folders) == 4 and sum(parted.folders) == sum(parted.counts) == 1000 and max(parted.counts) == 7
+    want = [(r["a"], r["b"]) for r in rows.orderBy("a", "b").collect()]
+    for page, size in ((1, 30), (334, 3), (2, 450), (1, 1000), (143, 7)):
+        for stored in (short, parted):
+            assert [(r["a"], r["b"]) for r in dicts(stored.page(page, size))] == want[(page - 1) * size : page * size]
+
+
 def test_pages_behind_a_cursor(spark):
     rows = spark.createDataFrame([(i % 3 if i % 4 else None, i) for i in range(20)], "a int, b int")
     want, got, after = [(r["a"], r["b"]) for r in rows.orderBy("a", "b").collect()], [], None
