@@ -22,10 +22,15 @@ FILES, FILES_PER_BATCH = 6, 2
 def written(spark, records) -> str:
     """Change records as several files; versions of a row are spread over files and batches."""
     folder = work_folder(spark, "changes")
-    records.repartition(FILES).write.text(folder)
+    write_files(records, folder)
     return folder
 
 
+def write_files(records, folder: str) -> None:
+    """Dealt by a hash of the text: dealing in turn would sort all texts first."""
+    records.repartition(FILES, "value").write.text(folder)
+
+
 def drain(spark, folder: str, lake: Lake, target: jobs.Target) -> None:
     raw = read_cdc_stream(spark, "text", folder, {"maxFilesPerTrigger": FILES_PER_BATCH})
     checkpoint = work_folder(spark, f"checkpoint-{target.current_name}")
@@ -79,14 +84,12 @@ def stream_keep_latest(spark, d):
 def gold_after_instalments(spark, d, parts: int) -> Lake:
     """Silver in ``parts`` instalments, each of several micro-batches; the gold stream after each.
 
-    Records are dealt out by their text, so corrections and deletes of a trip may come before it, or instalments later.
+    Records are dealt out by trip and version, so corrections and deletes of a trip may come before it, or instalments later.
     """
     lake, folder = Lake(spark, work_folder(spark, "lake")), work_folder(spark, "changes")
     silver, following = work_folder(spark, "checkpoint-silver"), work_folder(spark, "checkpoint-gold")
-    records = v.trip_changes(spark, d)
     for part in range(parts):
-        own = records.where(F.pmod(F.xxhash64("value"), F.lit(parts)) == part)
-        own.repartition(FILES).write.text(f"{folder}/part={part}")
+        write_files(v.trip_changes(spark, d, parts, part), f"{folder}/part={part}")
         raw = read_cdc_stream(spark, "text", f"{folder}/part=*", {"maxFilesPerTrigger": FILES // 2})
         jobs.start_changes(raw, lake, jobs.TRIPS, silver, availableNow=True).awaitTermination()
         stream = jobs.start_gold(lake, lambda: v.zones(spark, d), following, backfill=False, availableNow=True)
@@ -149,9 +152,9 @@ SELECT {PAYLOAD} FROM silver WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-10
 def stream_late_changes(spark, d):
     """Silver whose older days expired between two instalments; changes that come for them later are rejected."""
     lake, folder = Lake(spark, work_folder(spark, "lake")), work_folder(spark, "changes")
-    checkpoint, records = work_folder(spark, "checkpoint-silver"), v.trip_changes(spark, d)
+    checkpoint = work_folder(spark, "checkpoint-silver")
     for part in range(2):
-        records.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part).repartition(FILES).write.text(f"{folder}/part={part}")
+        write_files(v.trip_changes(spark, d, 2, part), f"{folder}/part={part}")
         raw = read_cdc_stream(spark, "text", f"{folder}/part=*")
         jobs.start_changes(raw, lake, jobs.TRIPS, checkpoint, availableNow=True).awaitTermination()
         jobs.expire(lake, jobs.TRIPS, 5, datetime(2024, 1, 15))

@@ -178,8 +178,11 @@ def _other_spelling(text: Column) -> Column:
     return text
 
 
-def trip_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Change records of the trips (``VERSIONS``), in both spellings, with some junk among them."""
+def trip_changes(spark: SparkSession, d: str, parts: int = 1, part: int = 0) -> DataFrame:
+    """Change records of the trips (``VERSIONS``), in both spellings, with some junk among them.
+
+    With ``parts``, one of so many parts, dealt by trip and version; only its own records are formed, spread over all cores.
+    """
     rows = trips(spark, d, "event_id").withColumns(
         {
             "fare_amount": F.when(F.expr(BAD_FARE), -F.col("fare_amount")).otherwise(F.col("fare_amount")),
@@ -188,6 +191,10 @@ def trip_changes(spark: SparkSession, d: str) -> DataFrame:
     )
     numbers = F.array(*[F.when(F.expr(v[1]), F.lit(i)) for i, v in enumerate(VERSIONS)])
     rows = rows.withColumn("version", F.explode(F.array_compact(numbers)))
+    if parts > 1:
+        own = ("event_id", "tpep_pickup_datetime", "version")
+        # A text takes far longer to form than its row to send, and a small file is few tasks.
+        rows = rows.filter(F.pmod(F.xxhash64(*own), F.lit(parts)) == part).repartition(*own)
     old = {n: F.col(n) for n in TRIP_COLUMNS}
     new = dict(old)
     op, delay = F.lit(None).cast("string"), F.lit(None).cast("int")

@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 
+from checks import views
 from faretide import schemas
 from faretide.operators import decode, merge, quality
 from faretide.plans import gold
@@ -79,6 +80,20 @@ def test_every_decoded_change_is_accounted_for(spark):
     assert sum(p.count() for p in parts) == changes.count() == len(HISTORY)  # one cut off, one split in two
 
 
+def test_instalments_form_their_own_records_only(spark, tmp_path):
+    """The parts are all records, each once; what belongs to another part goes before any text is formed."""
+    times = "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)"
+    columns = ("id AS event_id", f"{times} AS ts", "id % 9 AS user_id", "'view' AS event_type", "id / 2D AS value", "'{\"k\": 3}' AS props")
+    spark.range(300).selectExpr(*columns).write.parquet(str(tmp_path / "events.parquet"))
+    every = views.trip_changes(spark, str(tmp_path))
+    parts = [views.trip_changes(spark, str(tmp_path), 3, part) for part in range(3)]
+    texts = [sorted(r["value"] for r in dicts(part)) for part in parts]
+    assert all(texts) and sorted(sum(texts, [])) == sorted(r["value"] for r in dicts(every))
+    plan = parts[0]._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(event_id")
+    assert "to_json" not in plan[exchange:] and "xxhash64" in plan[exchange:]
+
+
 def test_a_replayed_batch_changes_nothing(spark, lake):
     target = jobs.TRIPS
     write = jobs.apply_batch(lake, target)
