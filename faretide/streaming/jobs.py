@@ -159,7 +159,8 @@ def _merged(stored: DataFrame, changes: DataFrame, target: Target) -> DataFrame:
     old = stored.withColumns({"_is_delete": F.col("_kind") == GONE, "_stored": F.lit(True)}).select(*columns)
     new = changes.withColumn("_stored", F.lit(False)).select(*columns)
     last = [F.col("_order").desc_nulls_last(), F.xxhash64(*spec.payload.names).desc(), F.col("_stored").desc()]
-    place = F.row_number().over(Window.partitionBy(*spec.key).orderBy(*last))
+    # The hash comes first so that the sort behind the window mostly compares one number.
+    place = F.row_number().over(Window.partitionBy(F.xxhash64(*spec.key), *spec.key).orderBy(*last))
     ranked = old.unionByName(new).withColumn("_place", place)
     wins, live, stored_row = F.col("_place") == 1, ~F.col("_is_delete"), F.col("_stored")
     kinds = F.array_compact(
