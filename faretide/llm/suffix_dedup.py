@@ -27,52 +27,72 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretide.llm import arrays, buckets, common
 
 _STEP = 7  # bytes in the first sort key: nine bits each, 0 past the end
+_ARRAY = 1 << 18  # bytes in a suffix array, or one whole bucket; the work takes eighty times its bytes, twice that for long pieces
 
 
 class SuffixArray:
-    """The suffixes that start in the first ``n[i]`` bytes of each string, sorted, with the LCP to the one before."""
+    """The suffixes that start in the first ``n[i]`` bytes of each string, sorted, with the LCP to the one before.
 
-    def __init__(self, strings: list[bytes], n: np.ndarray):
+    Of these ``n.sum()`` starts, string by string, ``wanted`` may tell those to keep.
+    """
+
+    def __init__(self, strings: list[bytes], n: np.ndarray, wanted: np.ndarray | None = None):
         pad = bytes(_STEP)
         data = np.frombuffer(pad.join(strings) + pad, np.uint8)
-        sizes = np.array([len(s) for s in strings])
+        sizes = np.array([len(s) for s in strings], np.int64)
         first = np.cumsum(sizes + _STEP) - sizes - _STEP
         self.first, total = first, len(data)
-        symbol = data.astype(np.int64) + 1
-        end = np.repeat(first + sizes, sizes + _STEP)
-        symbol[np.arange(total) >= end] = 0
+        end = np.repeat((first + sizes).astype(np.int32), sizes + _STEP)
+        symbol = data.astype(np.uint16) + np.uint16(1)
+        symbol[np.arange(total, dtype=np.int32) >= end] = 0
         key = np.zeros(total, np.int64)
         for j in range(_STEP):
             key <<= 9
             key[: total - j] |= symbol[j:]
         # Only suffixes that start a window are wanted, but ranks of all positions carry the doubling.
-        _, rank, counts = np.unique(key, return_inverse=True, return_counts=True)
-        open_ = np.flatnonzero((counts[rank] > 1) & (symbol > 0))
-        levels = [(np.cumsum(counts) - counts)[rank]]
+        position = np.argsort(key).astype(np.int32)
+        key = key[position]
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        del key
+        counts = np.diff(np.r_[head, total])
+        rank = np.empty(total, np.int32)
+        rank[position] = np.repeat(head.astype(np.int32), counts)
+        levels = [rank]
         reach = _STEP
+        open_ = position[np.repeat(counts > 1, counts)]
+        del position
         longest = int(sizes.max()) if len(sizes) else 0
-        while len(open_) and reach < longest:
+        while reach < longest:
+            # Equal ranks whose strings end within the reach are equal for good.
+            open_ = np.sort(open_[end[open_] - open_ >= reach])
+            if not len(open_):
+                break
             rank = levels[-1].copy()
-            old, following = rank[open_], levels[-1][np.minimum(open_ + reach, end[open_])]
-            order = np.argsort((old << 32) | following)
-            position, old, following = open_[order], old[order], following[order]
-            group = arrays.groups(old)
-            part = arrays.groups(old, following)
-            head_of_group = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            head_of_part = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            rank[position] = old + head_of_part[part] - head_of_group[group]
+            old, following = rank[open_], rank[np.minimum(open_ + np.int32(reach), end[open_])]
+            both = (old.astype(np.int64) << 32) | following
+            order = np.argsort(both)
+            position, both = open_[order], both[order]
+            old = (both >> 32).astype(np.int32)
+            head_of_group = np.flatnonzero(np.r_[True, old[1:] != old[:-1]])
+            head_of_part = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+            del both, order, following
+            counts = np.diff(np.r_[head_of_part, len(old)])
+            moved = head_of_part - head_of_group[np.searchsorted(head_of_group, head_of_part, side="right") - 1]
+            rank[position] = old + np.repeat(moved.astype(np.int32), counts)
             levels.append(rank)
-            sizes_of = np.bincount(part)
-            open_ = np.sort(position[sizes_of[part] > 1])
+            open_ = position[np.repeat(counts > 1, counts)]
             reach *= 2
         starts = np.repeat(first, n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))
         string = np.repeat(np.arange(len(strings)), n)
+        if wanted is not None:
+            starts, string = starts[wanted], string[wanted]
         order = np.argsort(levels[-1][starts], kind="stable")
         self.at, self.string = starts[order], string[order]
         a, b = self.at[:-1].copy(), self.at[1:].copy()
@@ -93,11 +113,16 @@ class SuffixArray:
         self.before = np.where(inner, data[np.maximum(self.at - 1, 0)].astype(np.int64), -1 - self.string)
 
     def runs(self, least: int) -> Iterator[tuple[int, int]]:
-        """[from, to) of neighbours with ``least`` bytes or more in common."""
+        """[from, to) of neighbours with ``least`` bytes or more in common, whose bytes before differ.
+
+        Where all have one byte before them, the same members one byte to the left hold it.
+        """
         deep = self.lcp >= least
         edge = np.flatnonzero(np.diff(np.r_[False, deep, False].astype(np.int8)))
-        for low, high in zip(edge[::2] - 1, edge[1::2]):
-            yield int(low), int(high)
+        low, high = edge[::2] - 1, edge[1::2]
+        changes = np.cumsum(np.r_[0, self.before[1:] != self.before[:-1]])
+        mixed = changes[high - 1] > changes[low]
+        yield from zip(low[mixed].tolist(), high[mixed].tolist())
 
 
 def intervals(lcp: list[int], before: list[int], place: list[int], least: int):
@@ -202,21 +227,56 @@ SPANS = "_id long, _text_hash long, start long, size long"
 GROUPS = f"array string, rank long, {SPANS.rpartition(',')[0]}, piece_start long, groups array<struct<length:bigint,last:bigint>>"
 
 
+def repeated(data: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """Whether the window at each of ``starts`` has the hash of another one's: true of all that are equal."""
+    size = 1 << (window.bit_length() - 1)  # two grams cover a window
+    gram = arrays.grams(arrays.BYTE_HASH[data], size)
+    hashes = gram[starts] * arrays.U(3) + gram[starts + window - size]
+    del gram
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    same = hashes[1:] == hashes[:-1]
+    out = np.zeros(len(starts), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def _parts(table: pa.Table, key: str, least_bytes: int) -> Iterator[pa.Table]:
+    """Slices of a table that is sorted by ``key`` with ``least_bytes`` of ``packed`` or somewhat more, which part no key."""
+    keys = table.column(key).to_numpy()
+    head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = pc.binary_length(table.column("packed")).to_numpy().astype(np.int64)
+    before = (np.cumsum(sizes) - sizes)[head] // least_bytes
+    cut = [*head[np.flatnonzero(np.r_[True, before[1:] != before[:-1]])].tolist(), len(keys)]
+    for low, high in zip(cut, cut[1:]):
+        yield table.slice(low, high - low).combine_chunks()
+
+
 def _scan(window: int, least_bytes: int, groups_too: bool):
     def run(batches: Iterator[pa.RecordBatch]):
-        for table in arrays.whole_keys(batches, "hash_1", least_bytes):
+        tables = arrays.whole_keys(batches, "hash_1", least_bytes)
+        for table in (part for whole in tables for part in _parts(whole, "hash_1", _ARRAY)):
+            # A window that stands once is in no repeat, and a piece of such windows needs no place in the array.
+            n = table.column("n").to_numpy()
+            data, bounds = arrays.text_bytes(table.column("packed").combine_chunks())
+            begin = np.cumsum(n) - n
+            wanted = repeated(data, np.repeat(bounds[:-1] - begin, n) + np.arange(int(n.sum())), window)
+            if groups_too:
+                wanted[begin[table.column("copied").to_numpy()]] = True
+            held = np.logical_or.reduceat(wanted, begin)
+            if not held.any():
+                continue
+            wanted, table = wanted[np.repeat(held, n)], table.filter(pa.array(held))
             ids, hashes, starts, n = (table.column(c).to_numpy() for c in ("_id", "_text_hash", "start", "n"))
             document = np.empty(len(ids), np.int64)
             order = np.lexsort((hashes, ids))
             document[order] = arrays.groups(ids[order], hashes[order])
-            array = SuffixArray(table.column("packed").to_pylist(), n)
+            array = SuffixArray(table.column("packed").to_pylist(), n, wanted)
             start = starts[array.string] + array.at - array.first[array.string]
             place = document[array.string] * (int(starts.max(initial=0) + n.max(initial=0)) + 1) + start
             rows, found, begun, inside = [], [], {}, np.zeros(len(place), bool)
             for low, high in array.runs(window):
                 before = array.before[low:high].tolist()
-                if len(set(before)) == 1:
-                    continue  # the same members one byte to the left hold it
                 lcp = array.lcp[low:high].tolist()
                 opened: dict[int, list] = {}
                 for length, first, last, losers in intervals(lcp, before, place[low:high].tolist(), window):

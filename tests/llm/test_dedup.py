@@ -119,6 +119,44 @@ def test_suffix_array(names):
         assert array.lcp[i] == same
 
 
+@pytest.mark.parametrize("n_keys", [2000, 1])
+def test_scan_memory(n_keys):
+    """Many small buckets in one batch, and one large bucket: what a task holds stays near the bytes of one array."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    bases = rng.integers(97, 101, (n_keys, 168), np.uint8)
+    pieces = np.repeat(bases, 10_000 // n_keys, axis=0)
+    rows = np.arange(len(pieces))
+    pieces[rows, rng.integers(0, 168, len(rows))] = 65 + rows % 26
+    columns = {
+        "_id": rows,
+        "_text_hash": rows,
+        "start": np.zeros_like(rows),
+        "n": np.full_like(rows, 69),
+        "hash_1": rows // (10_000 // n_keys),
+        "hash_2": rows,
+        "packed": pa.array([p.tobytes() for p in pieces], pa.binary()),
+    }
+    batch = pa.RecordBatch.from_pydict(columns)
+    scan = suffix_dedup._scan(100, 2 << 20, False)
+    tracemalloc.start()
+    found = sum(out.num_rows for out in scan(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 0 and peak < (40 << 20 if n_keys > 1 else 100 * pieces.size)
+
+
+def test_repeated_windows():
+    import numpy as np
+
+    data = np.frombuffer(b"xabcdefgyabcdefgz", np.uint8)
+    assert suffix_dedup.repeated(data, np.arange(len(data) - 4), 5).nonzero()[0].tolist() == [1, 2, 3, 9, 10, 11]
+
+
 def test_near(spark, family):
     got = minhash_forest.near_duplicates(frame(spark, family)).collect()
     shown = sorted((brute.NO_ID if r[0] is None else r[0], r[1], brute.NO_ID if r[2] is None else r[2], r[3]) for r in got)
