@@ -28,6 +28,9 @@ from faretide.llm import arrays, common
 
 PLACE = ["_id", "_text_hash", "start"]
 
+#: Pieces and windows of hot ones that a task holds before they go out, whatever its batches.
+ROWS = 1 << 15
+
 Units = Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray, int]]]
 
 

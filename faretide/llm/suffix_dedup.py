@@ -174,28 +174,21 @@ def joined(starts: list[int], size: int) -> list[dict]:
 
 
 def _pack(window: int):
-    """One place of each contested piece with its bytes; of hot ones each different window once per batch, by hash."""
+    """One place of each contested piece with its bytes; of hot ones each different window by hash, equal ones together.
+
+    Rows go out as soon as ``buckets.ROWS`` pieces and windows are held, so that a task holds no more, whatever its batches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in PACKED.names}
+        out: dict[str, list] = {k: [] for k in PACKED.names}
+        windows: dict[bytes, dict] = {}
+        held = 0
 
-            def put(*row):
-                for name, value in zip(out, row):
-                    out[name].append(value)
+        def put(*row):
+            for name, value in zip(out, row):
+                out[name].append(value)
 
-            windows: dict[bytes, dict] = {}
-            columns = (batch.column(c) for c in ("_id", "_text_hash", "text", "items"))
-            for doc_id, text_hash, text, pieces in zip(*columns):
-                place, data = (doc_id.as_py(), text_hash.as_py()), text.as_py().encode()
-                for item in pieces.as_py():
-                    begin, n = item["start"], item["n"]
-                    if not item["hot"]:
-                        put(*place, begin, n, item["mini"], None, data[begin : begin + n + window - 1], None)
-                        continue
-                    for at in range(begin, begin + n):
-                        digest = hashlib.blake2b(data[at : at + window], digest_size=16).digest()
-                        windows.setdefault(digest, {}).setdefault(place, []).append(at)
+        def packed() -> pa.RecordBatch:
             for digest, places in windows.items():
                 members = []
                 for place, starts in places.items():
@@ -205,7 +198,32 @@ def _pack(window: int):
                 first = min((m["_id"], m["_text_hash"], m["start"]) for m in members)
                 count = sum(len(x) for x in places.values())
                 put(*first, count, *np.frombuffer(digest, np.int64).tolist(), None, members)
-            yield pa.RecordBatch.from_pydict(out, schema=PACKED)
+            rows = pa.RecordBatch.from_pydict(out, schema=PACKED)
+            windows.clear()
+            for values in out.values():
+                values.clear()
+            return rows
+
+        for batch in batches:
+            columns = (batch.column(c) for c in ("_id", "_text_hash", "text", "items"))
+            for doc_id, text_hash, text, pieces in zip(*columns):
+                place, data = (doc_id.as_py(), text_hash.as_py()), text.as_py().encode()
+                for item in pieces:
+                    item = item.as_py()
+                    begin, n = item["start"], item["n"]
+                    if not item["hot"]:
+                        put(*place, begin, n, item["mini"], None, data[begin : begin + n + window - 1], None)
+                        held += 1
+                    else:
+                        for at in range(begin, begin + n):
+                            digest = hashlib.blake2b(data[at : at + window], digest_size=16).digest()
+                            windows.setdefault(digest, {}).setdefault(place, []).append(at)
+                        held += n
+                    if held >= buckets.ROWS:
+                        yield packed()
+                        held = 0
+        if held:
+            yield packed()
 
     return run
 

@@ -26,36 +26,54 @@ from faretide.llm import arrays, buckets, common
 
 
 def _pack(window: int):
-    """One place of each contested piece as a packed string; of hot ones each different window once per batch, by hash."""
+    """One place of each contested piece as a packed string; of hot ones each different window by hash, equal ones together.
+
+    Rows go out as soon as ``buckets.ROWS`` pieces and windows are held.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in PACKED.names}
+        out: dict[str, list] = {k: [] for k in PACKED.names}
+        windows: dict[bytes, list] = {}
+        waiting = 0
 
-            def put(*row):
-                for name, value in zip(out, row):
-                    out[name].append(value)
+        def put(*row):
+            for name, value in zip(out, row):
+                out[name].append(value)
+
+        def packed() -> pa.RecordBatch:
+            for digest, (places, members) in windows.items():
+                put(None, None, places, True, *np.frombuffer(digest, np.int64).tolist(), None, members)
+            rows = pa.RecordBatch.from_pydict(out, schema=PACKED)
+            windows.clear()
+            for values in out.values():
+                values.clear()
+            return rows
 
-            windows: dict[bytes, list] = {}
+        for batch in batches:
             for text, pieces in zip(batch.column("text"), batch.column("items")):
                 words = text.as_py().encode().split()
-                for item in pieces.as_py():
+                for item in pieces:
+                    item = item.as_py()
                     begin, n, places = item["start"], item["n"], item["places"]
                     part = words[begin : begin + n + window - 1]
                     if not item["hot"]:
                         put(item["mini"], item["piece"], places, False, None, None, b" ".join(part), None)
-                        continue
-                    of_piece: dict[bytes, list] = {}
-                    for k in range(n):
-                        digest = hashlib.blake2b(b" ".join(part[k : k + window]), digest_size=16).digest()
-                        of_piece.setdefault(digest, []).append({"at": k, "n": 1})
-                    for digest, runs in of_piece.items():
-                        held = windows.setdefault(digest, [0, []])
-                        held[0] += places * len(runs)
-                        held[1].append({"mini": item["mini"], "piece": item["piece"], "runs": runs})
-            for digest, (places, members) in windows.items():
-                put(None, None, places, True, *np.frombuffer(digest, np.int64).tolist(), None, members)
-            yield pa.RecordBatch.from_pydict(out, schema=PACKED)
+                        waiting += 1
+                    else:
+                        of_piece: dict[bytes, list] = {}
+                        for k in range(n):
+                            digest = hashlib.blake2b(b" ".join(part[k : k + window]), digest_size=16).digest()
+                            of_piece.setdefault(digest, []).append({"at": k, "n": 1})
+                        for digest, runs in of_piece.items():
+                            held = windows.setdefault(digest, [0, []])
+                            held[0] += places * len(runs)
+                            held[1].append({"mini": item["mini"], "piece": item["piece"], "runs": runs})
+                        waiting += n
+                    if waiting >= buckets.ROWS:
+                        yield packed()
+                        waiting = 0
+        if waiting:
+            yield packed()
 
     return run
 

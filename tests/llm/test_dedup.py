@@ -5,7 +5,7 @@ import random
 import duckdb
 import pytest
 
-from faretide.llm import components, line_dedup, minhash_forest, suffix_dedup, superkmer_dedup
+from faretide.llm import buckets, components, line_dedup, minhash_forest, suffix_dedup, superkmer_dedup
 from tests.llm import brute
 from tests.llm.conftest import ODD
 
@@ -150,6 +150,56 @@ def test_scan_memory(n_keys):
     assert found > 0 and peak < (40 << 20 if n_keys > 1 else 100 * pieces.size)
 
 
+def hot_batch(n_docs, size, letters):
+    """Texts all of whose pieces stand in a hot bucket."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    ids = list(range(n_docs))
+    texts = ["".join(rng.choices(letters, k=size)) for _ in ids]
+    pieces = [{"mini": 7, "piece": k, "start": at, "n": min(60, size - 99 - at), "hot": True} for k, at in enumerate(range(0, size - 99, 60))]
+    kind = pa.list_(pa.struct([("mini", pa.int64()), ("piece", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("hot", pa.bool_())]))
+    return pa.RecordBatch.from_pydict({"_id": ids, "_text_hash": ids, "text": texts, "items": pa.array([pieces] * n_docs, kind)})
+
+
+@pytest.mark.parametrize("pack", [suffix_dedup._pack(100), superkmer_dedup._pack(35)])
+def test_pack_memory(pack):
+    """Many windows of hot buckets in one batch: a task does not hold them all."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = hot_batch(60, 2000, "abcd")
+    if pack.__module__ == superkmer_dedup.__name__:  # a word for each byte
+        items = batch.column("items")
+        items = pa.array([[x | {"places": 1} for x in row] for row in items.to_pylist()], pa.list_(pa.struct([*items.type.value_type, pa.field("places", pa.int64())])))
+        batch = pa.RecordBatch.from_pydict({"text": [" ".join(t) for t in batch.column("text").to_pylist()], "items": items})
+    tracemalloc.start()
+    found = sum(out.num_rows for out in pack(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 60 * 1800 and peak < 64 << 20
+
+
+def test_packed_in_parts(monkeypatch):
+    """Where windows go out in parts, they add up to the same places."""
+    batch = hot_batch(20, 600, "a")
+
+    def places():
+        rows = [r for out in suffix_dedup._pack(100)(iter([batch])) for r in out.to_pylist()]
+        starts = {}
+        for r in rows:
+            for m in r["members"]:
+                at = [x for s in m["spans"] for x in range(s["start"], s["start"] + s["size"] - 99)]
+                starts.setdefault((r["hash_1"], r["hash_2"], m["_id"]), []).extend(at)
+        return len(rows), {k: sorted(v) for k, v in starts.items()}, sum(r["n"] for r in rows)
+
+    one, whole, n = places()
+    monkeypatch.setattr(buckets, "ROWS", 100)
+    parts, same, same_n = places()
+    assert parts > one and same == whole and same_n == n
+
+
 def test_repeated_windows():
     import numpy as np
 
